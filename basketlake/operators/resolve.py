@@ -1,0 +1,90 @@
+"""Spoken names to codes: departments, tenders, categories."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from basketlake.fixed_values import DEPARTMENT_ALIASES, DEPARTMENTS, TENDER_ALIASES
+
+
+def department_code(value: str | None) -> str | None:
+    """Code of a department given by code or by a spoken name; None when there is none."""
+    if not value:
+        return None
+    wanted = str(value).strip()
+    if wanted in DEPARTMENTS:
+        return wanted
+    return next((code for code, names in DEPARTMENT_ALIASES.items() if wanted.lower() in names), None)
+
+
+def _lookup(key: Column, aliases: dict[str, tuple[str, ...]]) -> Column:
+    pairs = [F.lit(x) for code, names in aliases.items() for name in names for x in (name, code)]
+    return F.try_element_at(F.create_map(*pairs), key)
+
+
+def department_code_column(value: Column) -> Column:
+    """The same for a column of names."""
+    wanted = F.trim(value)
+    return F.when(wanted.isin(*DEPARTMENTS), wanted).otherwise(
+        _lookup(F.lower(wanted), DEPARTMENT_ALIASES)
+    )
+
+
+def _asked(names: DataFrame, requests: list[str]) -> DataFrame:
+    """Every name once per request; requests are the few arguments of a call, so this stays linear."""
+    return names.withColumn("request", F.explode(F.array(*[F.lit(r) for r in requests])))
+
+
+def resolve_tender(names: DataFrame, requests: list[str], column: str = "tender_type") -> DataFrame:
+    """Tender meant by each request: the alias or the word itself, else a tender containing it or in it."""
+    asked = _asked(names.where(F.col(column) != "").select(column).distinct(), requests)
+    word = F.trim("request")
+    wanted = F.coalesce(_lookup(F.lower(word), TENDER_ALIASES), F.upper(word))
+    name = F.col(column)
+    grade = F.when(name == wanted, 0).when(name.contains(wanted) | wanted.contains(name), 1)
+    return (
+        asked.withColumn("_grade", grade)
+        .where(F.col("_grade").isNotNull())
+        .groupBy("request")
+        .agg(F.min(F.struct("_grade", column)).alias("_best"))
+        .select("request", F.col(f"_best.{column}").alias(column))
+    )
+
+
+def resolve_category(names: DataFrame, requests: list[str], column: str = "category_name") -> DataFrame:
+    """Category meant by each request: exact, then prefix, then contained; the shortest name wins."""
+    asked = _asked(names.where(F.col(column) != "").select(column).distinct(), requests)
+    wanted, name = F.upper(F.trim("request")), F.upper(column)
+    grade = F.when(name == wanted, 0).when(name.startswith(wanted), 1).when(name.contains(wanted), 2)
+    return (
+        asked.withColumns({"_grade": grade, "_length": F.length(column)})
+        .where(F.col("_grade").isNotNull())
+        .groupBy("request")
+        .agg(F.min(F.struct("_grade", "_length", column)).alias("_best"))
+        .select("request", F.col(f"_best.{column}").alias(column))
+    )
+
+
+def suggest_categories(
+    names: DataFrame, requests: list[str], limit: int = 6, column: str = "category_name"
+) -> DataFrame:
+    """The shortest names that contain any longer word of a request."""
+    asked = _asked(names.where(F.col(column) != "").select(column).distinct(), requests)
+    words = F.filter(F.split(F.upper(F.trim("request")), "[^A-Z]+"), lambda w: F.length(w) > 2)
+    hit = F.exists(words, lambda w: F.upper(column).contains(w))
+    order = W.partitionBy("request").orderBy(F.length(column), column)
+    return (
+        asked.where(hit)
+        .withColumn("position", F.row_number().over(order))
+        .where(F.col("position") <= limit)
+        .select("request", "position", column)
+    )
+
+
+def contains_all(column: str, terms: list[str]) -> Column:
+    """The column, in capitals, contains every term."""
+    return reduce(lambda a, b: a & b, [F.upper(column).contains(t.upper()) for t in terms])
