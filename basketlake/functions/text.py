@@ -1,7 +1,5 @@
 """Barcodes, product names, search words, store labels."""
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,9 +64,9 @@ def season_tag(description: Column, category: Column) -> Column:
     result = F.lit("flat")
     for name, season in CATEGORY_SEASONS.items():
         result = F.when(code == name, F.lit(season)).otherwise(result)
+    # The keywords hold letters, blanks and hyphens only, so they can stand in a pattern as they are.
     for season, keywords in reversed(SEASON_RULES):
-        hit = reduce(lambda a, b: a | b, [words.contains(k) for k in keywords])
-        result = F.when(hit, F.lit(season)).otherwise(result)
+        result = F.when(words.rlike("|".join(keywords)), F.lit(season)).otherwise(result)
     return result
 
 

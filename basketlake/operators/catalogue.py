@@ -26,7 +26,9 @@ from basketlake.functions import text
 from basketlake.functions.numbers import first_nonzero, money, ratio
 from basketlake.operators.skew import group_median, left_join, positions
 from basketlake.schemas import ITEM_MASTER
+from basketlake.session import stored
 
+EVERY_DEPARTMENT = "*"
 DUPLICATE, NO_PRICE = "duplicate upc", "no price"
 PRICE_BOOK_COLUMNS = [
     "Upc with Dashes", "UPC", "Description", "POS Description", "Department", "Dept 4", "Category Name",
@@ -40,11 +42,14 @@ def _field(name: str) -> Column:
 
 
 def clean(book: DataFrame) -> DataFrame:
-    """Typed price book rows: recovered barcode, description, price and cost."""
+    """Typed price book rows: recovered barcode, description, price and cost.
+
+    Stored, since the votes, the reasons and the items are all taken from it.
+    """
     upc, damaged = text.recover_barcode(F.col("`Upc with Dashes`"), F.col("UPC"))
     described = text.squeeze(_field("Description"))
     register = text.squeeze(_field("POS Description"))
-    return book.select(
+    rows = book.select(
         "ord", upc.alias("upc"), damaged.cast("int").alias("damaged_upc"),
         F.when(described != "", described).otherwise(register).alias("description"),
         register.alias("register_text"), _field("Department").alias("department_code"),
@@ -56,6 +61,7 @@ def clean(book: DataFrame) -> DataFrame:
         F.when(F.upper(_field("Food Stamp")).startswith("Y"), "Y").otherwise("N").alias("food_stamp"),
         F.when(F.upper(_field("WIC")) == "WIC", "Y").otherwise("N").alias("wic"),
     )
+    return stored(rows, "pricebook")
 
 
 def with_skip_reason(rows: DataFrame) -> DataFrame:
@@ -114,11 +120,9 @@ def recover_categories(rows: DataFrame, votes: DataFrame) -> DataFrame:
     }).drop("voted_category")
 
 
-def _department_name(code: Column, names: dict[str, str]) -> Column:
-    result = F.concat(F.lit("Dept "), code)
-    for value, name in names.items():
-        result = F.when(code == value, F.lit(name)).otherwise(result)
-    return result
+def _looked_up(code: Column, table: dict) -> Column:
+    """Value of a small fixed table, NULL where the code is not in it."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), code)
 
 
 def impute_costs(items: DataFrame) -> DataFrame:
@@ -133,14 +137,17 @@ def impute_costs(items: DataFrame) -> DataFrame:
         "unit_price": F.round(price, 2),
         "cost_source": F.when(cost.isNull() | implausible, "imputed").otherwise("actual"),
     })
+    # Every margin counts for its department and for the whole; one pass takes both medians.
+    groups = F.explode(F.array(F.col("department_code"), F.lit(EVERY_DEPARTMENT)))
     margins = marked.where(F.col("cost_source") == "actual").select(
-        "department_code", ((F.col("unit_price") - cost) / F.col("unit_price")).alias("margin")
+        groups.alias("department_code"), ((F.col("unit_price") - cost) / F.col("unit_price")).alias("margin")
+    )
+    medians = stored(
+        group_median(margins, ["department_code"], "margin", F.floor(F.col("margin") * 1000), "_median"), "medians"
     )
-    bucket = F.floor(F.col("margin") * 1000)
-    by_dept = group_median(margins, ["department_code"], "margin", bucket, "_median")
-    whole = margins.withColumn("_all", F.lit(1))
-    overall = group_median(whole, ["_all"], "margin", bucket, "_overall").agg(F.max("_overall").alias("m")).scalar()
-    joined = left_join(marked, by_dept, ["department_code"], ["ord"])
+    whole = medians.where(F.col("department_code") == EVERY_DEPARTMENT)
+    overall = whole.agg(F.max("_median").alias("m")).scalar()
+    joined = left_join(marked, medians, ["department_code"], ["ord"])
     fallback = first_nonzero(overall, F.lit(MARGIN_FALLBACK))
     chosen = F.coalesce(first_nonzero(F.col("_median"), fallback), fallback)
     margin = F.least(F.greatest(chosen, F.lit(MARGIN_FLOOR)), F.lit(MARGIN_CEILING))
@@ -157,19 +164,22 @@ def build_items(book: DataFrame, department_names: dict[str, str] = DEPARTMENTS)
     rows = clean(book)
     votes = category_votes(rows)
     kept = with_skip_reason(rows).where(F.col("skip_reason").isNull())
-    items = impute_costs(recover_categories(kept, votes))
+    items = impute_costs(stored(recover_categories(kept, votes), "kept"))
     short = F.substring("register_text", 1, 22)
-    return items.select(
+    master = items.select(
         "ord", "recovered", text.pad_barcode(F.col("upc")).alias("item_id"), "upc",
         F.substring("description", 1, 60).alias("item_desc"),
         text.product_key(F.col("description")).alias("product_key"),
         F.when(short != "", short).otherwise(F.substring("description", 1, 22)).alias("pos_desc"),
-        "department_code", _department_name(F.col("department_code"), department_names).alias("department_name"),
+        "department_code", F.coalesce(
+            _looked_up(F.col("department_code"), department_names), F.concat(F.lit("Dept "), F.col("department_code"))
+        ).alias("department_name"),
         F.when(F.col("sub_category") != "", F.col("sub_category")).otherwise("0").alias("category_code"),
         F.when(F.col("category") != "", F.col("category")).otherwise("Uncategorized").alias("category_name"),
         "brand", "vendor", "unit_price", "unit_cost", "cost_source", "margin_pct", "food_stamp", "wic",
         text.season_tag(F.col("description"), F.col("category")).alias("season"),
     )
+    return stored(master, "items")
 
 
 def _uniform(item: Column, part: int) -> Column:
@@ -198,10 +208,11 @@ def rank_weights(items: DataFrame) -> DataFrame:
     ranked = positions(scored, ["department_code"], "place", F.floor(F.col("place.score") * 1000))
     noise = F.lit(NOISE_LOW) + F.lit(NOISE_HIGH - NOISE_LOW) * _uniform(F.col("place.item_id"), 1)
     weight = F.lit(1.0) / F.pow(F.col("before") + 1 + CURVE_OFFSET, F.lit(CURVE_EXPONENT))
-    return ranked.select(
+    weights = ranked.select(
         "department_code", F.col("place.item_id").alias("item_id"), (F.col("before") + 1).alias("rank"),
         F.round(weight * noise, 8).alias("weight"),
     )
+    return stored(weights, "weights")
 
 
 def demand_weights(items: DataFrame, shares: dict[str, float] = TARGET_REVENUE_SHARE) -> DataFrame:
@@ -210,9 +221,7 @@ def demand_weights(items: DataFrame, shares: dict[str, float] = TARGET_REVENUE_S
     priced = items.select("item_id", "department_code", "unit_price").join(weights, "item_id")
     exact = F.col("weight").cast("decimal(12,8)") * F.col("unit_price").cast("decimal(12,2)")
     expected = priced.groupBy("department_code").agg(F.sum(exact).cast("double").alias("_expected"))
-    target = F.lit(DEFAULT_REVENUE_SHARE)
-    for code, share in shares.items():
-        target = F.when(F.col("department_code") == code, F.lit(share)).otherwise(target)
+    target = F.coalesce(_looked_up(F.col("department_code"), shares), F.lit(DEFAULT_REVENUE_SHARE))
     factors = expected.select(
         "department_code",
         F.when(F.col("_expected") > 0, target / F.col("_expected")).otherwise(F.lit(1.0)).alias("_factor"),

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -35,3 +35,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="basketlake-")
         spark.conf.set(CHECKPOINT_KEY, root)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the scratch area: computed once, with a short plan for what follows."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

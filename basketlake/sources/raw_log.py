@@ -45,14 +45,19 @@ def read_log(
 
 
 def parse_lines(lines: DataFrame, value: str = "value", settings=DEFAULT_SETTINGS) -> DataFrame:
-    """The same parse for lines held in a text column; other columns stay. Blank lines are dropped."""
+    """The same parse for lines held in a text column; other columns stay. A line without
+    any field is dropped, as the file reader drops blank lines.
+
+    `inline` keeps the parse in an operator of its own: as a plain column Catalyst would repeat it for
+    every field taken out of the record.
+    """
     ddl = ", ".join(f"{name} STRING" for name in log_fields(settings))
     record = F.from_csv(F.col(value), ddl, CSV_OPTIONS)
     kept = [c for c in lines.columns if c != value]
     return (
-        lines.where(F.trim(value) != "")
-        .select(*kept, record.alias("_record"))
-        .select(*kept, *[text.blank(F.col("_record")[n]).alias(n) for n in log_fields(settings)])
+        lines.select(*kept, F.inline(F.array(record)))
+        .where(F.coalesce(*[F.col(n) for n in log_fields(settings)]).isNotNull())
+        .select(*kept, *[text.blank(F.col(n)).alias(n) for n in log_fields(settings)])
     )
 
 

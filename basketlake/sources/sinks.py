@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LAYOUT = ("store", "year", "month")
 
@@ -37,11 +38,15 @@ def write_table(
     )
 
 
+def add_partition_fields(schema: T.StructType) -> T.StructType:
+    kinds = {"store": T.StringType()}
+    return T.StructType(schema.fields + [T.StructField(k, kinds.get(k, T.IntegerType())) for k in LAYOUT])
+
+
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """Read it back; store codes keep their zeros."""
     if schema is None:
-        files = spark.read.option("recursiveFileLookup", True).parquet(path).schema
-        schema = files.add("store", "string").add("year", "int").add("month", "int")
+        schema = add_partition_fields(spark.read.option("recursiveFileLookup", True).parquet(path).schema)
     return spark.read.schema(schema).parquet(path)
 
 

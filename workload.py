@@ -482,11 +482,11 @@ report("load_summary", reports.load_summary)
 report("unmatched_barcodes", reports.unmatched_barcodes, 5)
 
 report("search_by_name", search.search_items, "how many widgets, 16", ALL, 25)
-report("search_by_barcode_group", search.search_items, "old rings", ALL, 25, group_duplicates=False)
-report("search_totals", search.search_totals, "old rings", ALL)
+report("search_by_barcode_group", search.search_items, "old widgets", ALL, 25, group_duplicates=False)
+report("search_totals", search.search_totals, "old widgets", ALL)
 report("search_barcode", search.search_barcode, "000-00123", ALL)
 report("search_barcode_catalogue", search.search_barcode_catalogue, "000-00123", "last_90_days")
-report("search_relaxed", search.search_relaxed, "anvil strawberries purple", ALL)
+report("search_relaxed", search.search_relaxed, "small widgets zz", ALL)
 report("search_not_sold", search.search_not_sold, "anvils", "last_90_days")
 
 report("dept_growth_qoq", recipes.dept_growth_qoq)
@@ -587,9 +587,9 @@ def movement_summary(spark, sf):
 
 @query
 def movement_overlay(spark, sf):
-    """Observed rates on the sample item master, whose barcodes the reports use in other paddings."""
+    """Observed rates on the sample item master; the reports carry its barcodes without zeros."""
     master = sample.item_master(spark, sf).select(
-        "ord", F.concat(F.lit("000"), F.substring("item_id", 4, 11)).alias("item_id"), "department_code", "category_name",
+        "ord", "item_id", "department_code", "category_name",
         F.col("unit_price").cast("double").alias("unit_price"), F.col("unit_cost").cast("double").alias("unit_cost"),
         F.lit("actual").alias("cost_source"), F.lit(0.0).alias("margin_pct"), F.lit(1.0).alias("popularity"),
     )
