@@ -154,7 +154,7 @@ def rates(parsed: DataFrame) -> DataFrame:
     days = F.datediff("period_end", "period_start") + 1
     price = (
         F.when(F.col("_price") != 0, F.round("_price", 2))
-        .when(F.col("units") != 0, F.round(F.col("_sales") / F.col("units"), 2))
+        .when(F.col("units") != 0, F.round(F.col("_sales").cast("decimal(18,2)") / F.col("units").cast("decimal(18,3)"), 2).cast("double"))
         .otherwise(F.lit(0.0))
     )
     per_day = F.nullif(days.cast("double"), F.lit(0.0))

@@ -41,7 +41,7 @@ def _daily(detail: DataFrame, keys, labels) -> DataFrame:
 
 
 def item_rollup(detail: DataFrame) -> DataFrame:
-    """Day, store, item, line class."""
+    """Day, store, item, line class; lines without a barcode by product and department."""
     return _daily(detail, ITEM_ROLLUP_KEYS, ITEM_ROLLUP_LABELS)
 
 

@@ -65,10 +65,10 @@ DETAIL_COLUMNS = (
 )
 
 ROLLUP_MEASURES = ("units", "revenue", "margin", "discount", "line_count", "basket_count")
-ITEM_ROLLUP_KEYS = ("sale_date", "store_id", "item_id", "transaction_type")
-ITEM_ROLLUP_LABELS = (
-    "store_name", "department_code", "department_name", "category_name", "item_desc", "product_key",
-)
+# Product and department follow from a barcode, but lines without one (department keys, promotions) share
+# the blank code: as keys they keep such lines apart, so reports by product or department stay right.
+ITEM_ROLLUP_KEYS = ("sale_date", "store_id", "item_id", "product_key", "department_code", "transaction_type")
+ITEM_ROLLUP_LABELS = ("store_name", "department_name", "category_name", "item_desc")
 DEPT_ROLLUP_KEYS = (
     "sale_date", "store_id", "department_code", "category_name", "tender_type", "transaction_type",
 )

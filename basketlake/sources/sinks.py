@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LAYOUT = ("store", "year", "month")
+# Month folders: at a large chain a folder per store would leave each with small files. Rows are sorted by
+# store inside, so a store is found by the statistics of row groups.
+LAYOUT = ("year", "month")
 
 
-def with_partitions(df: DataFrame, date_column: str, store_column: str = "store_id") -> DataFrame:
+def with_partitions(df: DataFrame, date_column: str) -> DataFrame:
     """Partition columns taken from the row itself, not from the folder it came from."""
     day = F.to_date(F.col(date_column))
     return df.withColumns({
-        "store": F.col(store_column),
         "year": F.year(day),
         "month": F.month(day),
         "day": F.dayofmonth(day),
@@ -23,7 +24,7 @@ def with_partitions(df: DataFrame, date_column: str, store_column: str = "store_
 def write_table(
     df: DataFrame, path: str, date_column: str, layout=LAYOUT, sort_by: tuple[str, ...] = ()
 ) -> None:
-    """Write Parquet below store/year/month; only the partitions in `df` are replaced.
+    """Write Parquet below year/month; only the partitions in `df` are replaced.
 
     The rebalance hint gathers a partition's rows into few files and lets AQE split the large ones.
     """
@@ -39,25 +40,24 @@ def write_table(
 
 
 def add_partition_fields(schema: T.StructType) -> T.StructType:
-    kinds = {"store": T.StringType()}
-    return T.StructType(schema.fields + [T.StructField(k, kinds.get(k, T.IntegerType())) for k in LAYOUT])
+    return T.StructType(schema.fields + [T.StructField(k, T.IntegerType()) for k in LAYOUT])
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Read it back; store codes keep their zeros."""
+    """Read it back with the partition columns typed, not inferred."""
     if schema is None:
         schema = add_partition_fields(spark.read.option("recursiveFileLookup", True).parquet(path).schema)
     return spark.read.schema(schema).parquet(path)
 
 
 def write_log(record_lines: DataFrame, path: str, value: str = "value") -> None:
-    """Write log lines as .dat files below store/year/month. Needs those columns, and ord."""
+    """Write log lines as .dat files below year/month. Needs those columns, file and ord."""
     keys = list(LAYOUT)
     (
-        record_lines.select(*keys, "ord", value)
+        record_lines.select(*keys, "file", "ord", value)
         .hint("rebalance", *keys)
-        .sortWithinPartitions(*keys, "ord")
-        .drop("ord")
+        .sortWithinPartitions(*keys, "file", "ord")
+        .drop("file", "ord")
         .write.mode("overwrite")
         .partitionBy(*keys)
         .options(extension="dat", sep="\u0001", quote="\u0000", emptyValue="", escape="\u0000")

@@ -20,7 +20,7 @@ LATENESS = "3 days"
 def log_stream(
     spark: SparkSession, path: str, pattern: str = LOG_FILES, files_per_batch: int | None = None
 ) -> DataFrame:
-    """New log files below store/year/month as a stream; the first batch sweeps what is waiting.
+    """New log files below year/month as a stream; the first batch sweeps what is waiting.
 
     Files are taken once by name. A rewritten file is not read again, so producers write new names.
     """
@@ -91,7 +91,7 @@ def rebuild_touched(
     spark: SparkSession, raw_path: str, touched: DataFrame, master: DataFrame, target: str,
     stores: DataFrame | None = None,
 ) -> None:
-    """Run the nightly job over the store-months a batch touches.
+    """Run the nightly job over the months a batch touches.
 
     Only these partitions are replaced, so a batch that is retried gives the same tables. The list is as
     short as the folders a batch brings; it becomes a partition filter on the raw log.

@@ -117,7 +117,7 @@ UNION ALL SELECT transaction_id, store_id, log_date, seconds, 0, '', '', 0, '',
 _FILE = "concat('TLOG_', strftime(log_date, '%Y-%m-%d'), '_1_', store_id)"
 
 oracle("raw_scan", f"SELECT store_id AS store_code, key_function, count(*) AS lines, {d('sum(ext_sales)')} AS ext_sales FROM raw GROUP BY ALL")
-oracle("raw_partitions", "SELECT store_id AS store, CAST(year(log_date) AS INT) AS year, CAST(month(log_date) AS INT) AS month, count(*) AS lines FROM raw GROUP BY ALL")
+oracle("raw_partitions", "SELECT CAST(year(log_date) AS INT) AS year, CAST(month(log_date) AS INT) AS month, count(*) AS lines FROM raw GROUP BY ALL")
 
 
 def _n(column: str) -> str:
@@ -292,21 +292,21 @@ oracle("dim_department", "SELECT department_code, department_name FROM names")
 _SUMS = ", ".join(f"{d(f'sum({m})')} AS {m}" for m in ("units", "revenue", "margin", "discount"))
 _COUNTS = "count(*) AS line_count, count(DISTINCT transaction_id) AS basket_count"
 oracle("rollup_item", f"""
-SELECT sale_date, store_id, item_id, transaction_type, min(store_name) AS store_name, min(department_code) AS department_code,
+SELECT sale_date, store_id, item_id, product_key, department_code, transaction_type, min(store_name) AS store_name,
        min(department_name) AS department_name, min(category_name) AS category_name, min(item_desc) AS item_desc,
-       min(product_key) AS product_key, {_SUMS}, {_COUNTS} FROM detail GROUP BY sale_date, store_id, item_id, transaction_type""")
+       {_SUMS}, {_COUNTS} FROM detail GROUP BY sale_date, store_id, item_id, product_key, department_code, transaction_type""")
 oracle("rollup_dept", f"""
 SELECT sale_date, store_id, department_code, category_name, tender_type, transaction_type, min(store_name) AS store_name,
        min(department_name) AS department_name, {_SUMS}, {_COUNTS}
   FROM detail GROUP BY sale_date, store_id, department_code, category_name, tender_type, transaction_type""")
 _YM = "CAST(year(sale_date) AS INT) AS year, CAST(month(sale_date) AS INT) AS month"
-oracle("write_read_detail", f"SELECT store_id AS store, {_YM}, transaction_type, count(*) AS lines, {d('sum(revenue)')} AS revenue, {d('sum(margin)')} AS margin FROM detail GROUP BY ALL")
+oracle("write_read_detail", f"SELECT store_id, {_YM}, transaction_type, count(*) AS lines, {d('sum(revenue)')} AS revenue, {d('sum(margin)')} AS margin FROM detail GROUP BY ALL")
 oracle("write_read_rollups", f"""
-SELECT store_id AS store, {_YM}, transaction_type, count(*) AS lines, {d('sum(revenue)')} AS revenue, t.table_name
+SELECT store_id, {_YM}, transaction_type, count(*) AS lines, {d('sum(revenue)')} AS revenue, t.table_name
   FROM detail CROSS JOIN (VALUES ('rollup_item'), ('rollup_dept')) t(table_name) GROUP BY ALL""")
 oracle("partition_pruned_scan", f"SELECT {_YM}, count(*) AS lines, {d('sum(revenue)')} AS revenue FROM detail WHERE sale_date BETWEEN DATE '1996-11-15' AND DATE '2000-02-10' GROUP BY ALL")
 oracle("routing_equivalence", f"""
-SELECT department_name AS department, {d('sum(revenue)')} AS revenue, {d('sum(units)')} AS units, t.table_name
+SELECT category_name AS category, {d('sum(revenue)')} AS revenue, {d('sum(units)')} AS units, t.table_name
   FROM sold CROSS JOIN (VALUES ('detail'), ('rollup_item'), ('rollup_dept')) t(table_name) GROUP BY ALL""")
 _PAIRS = ", ".join(f"count(*) AS {s}_lines, {d('sum(revenue)')} AS {s}_revenue" for s in ("detail", "item", "dept"))
 oracle("check_partition", f"SELECT store_id, sale_date, {_PAIRS}, 1 AS item_ok, 1 AS dept_ok FROM detail GROUP BY store_id, sale_date")

@@ -61,7 +61,7 @@ def raw_scan(spark, sf):
 @query
 def raw_partitions(spark, sf):
     log = raw_log.read_log(spark, written_log(spark, sf), partitions=sinks.LAYOUT)
-    return raw_log.partition_listing(log).select("store", "year", "month", "lines")
+    return raw_log.partition_listing(log).select("year", "month", "lines")
 
 
 @query
@@ -348,9 +348,9 @@ def rollup_dept(spark, sf):
 def write_read_detail(spark, sf):
     path = work_dir(spark, "detail")
     detail = sample.detail(spark, sf)
-    sinks.write_table(detail, path, "transaction_ts", sort_by=("item_id",))
+    sinks.write_table(detail, path, "transaction_ts", sort_by=("store_id", "item_id"))
     stored = sinks.read_table(spark, path)
-    return stored.groupBy("store", "year", "month", "transaction_type").agg(
+    return stored.groupBy("store_id", "year", "month", "transaction_type").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("extended_price").cast("double").alias("revenue"),
         F.sum("gross_margin").cast("double").alias("margin"),
     )
@@ -360,9 +360,9 @@ def stored_rollups(spark, sf):
     """Detail written once, both rollups built from the stored table and written."""
     root = work_dir(spark, "lake")
     detail = sample.detail(spark, sf)
-    sinks.write_table(detail, f"{root}/detail", "transaction_ts", sort_by=("item_id",))
+    sinks.write_table(detail, f"{root}/detail", "transaction_ts", sort_by=("store_id", "item_id"))
     stored = sinks.read_table(spark, f"{root}/detail", nightly.detail_schema(detail))
-    sinks.write_table(rollups.item_rollup(stored), f"{root}/rollup_item", "sale_date", sort_by=("item_id",))
+    sinks.write_table(rollups.item_rollup(stored), f"{root}/rollup_item", "sale_date", sort_by=("store_id", "item_id"))
     sinks.write_table(rollups.dept_rollup(stored), f"{root}/rollup_dept", "sale_date")
     return {name: sinks.read_table(spark, f"{root}/{name}") for name in nightly.TABLES}
 
@@ -372,7 +372,7 @@ def write_read_rollups(spark, sf):
     tables = stored_rollups(spark, sf)
 
     def sums(name):
-        return tables[name].groupBy("store", "year", "month", "transaction_type").agg(
+        return tables[name].groupBy("store_id", "year", "month", "transaction_type").agg(
             F.sum("line_count").alias("lines"), F.sum("revenue").cast("double").alias("revenue"),
         ).withColumn("table_name", F.lit(name))
 
@@ -400,8 +400,8 @@ def routing_equivalence(spark, sf):
     )
 
     def answer(name):
-        rows = reports.sales_summary(lake.only(name), ALL, "department")
-        return rows.select("department", "revenue", "units", F.lit(name).alias("table_name"))
+        rows = reports.sales_summary(lake.only(name), ALL, "category")
+        return rows.select("category", "revenue", "units", F.lit(name).alias("table_name"))
 
     return answer("detail").unionByName(answer("rollup_item")).unionByName(answer("rollup_dept"))
 
