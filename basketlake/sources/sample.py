@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from basketlake.functions import dates
 from basketlake.operators.lines import enrich, classify, render
@@ -22,8 +23,15 @@ HISTORY_START = dt.date(1995, 1, 1)
 BLOCK_SPAN = 1 << 20
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One sample table; its schema is read from a footer once and given from then on."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _run(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
