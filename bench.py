@@ -29,6 +29,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        print(name, seconds[name], file=sys.stderr, flush=True)
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
