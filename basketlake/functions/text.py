@@ -21,7 +21,7 @@ def blank(c: Column) -> Column:
 
 
 def strip_zeros(c: Column) -> Column:
-    return F.regexp_replace(c, "^0+", "")
+    return F.ltrim(c, F.lit("0"))
 
 
 def pad_barcode(c: Column, width: int = 14) -> Column:
