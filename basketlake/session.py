@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -29,9 +30,15 @@ def build_session(app: str = "basketlake", cores: str = "*", **conf: str) -> Spa
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names; a temporary one only where none is set."""
+    """A new folder below the shared folder the cluster names.
+
+    Where none is set, a local session gets a temporary one; on a cluster, whose machines do not share local folders,
+    that is an error.
+    """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="basketlake-")
         spark.conf.set(CHECKPOINT_KEY, root)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
