@@ -158,26 +158,27 @@ def similarity(a: Column, b: Column) -> Column:
 def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
     """(a, b), a > b: keys whose fingerprints in any one table differ in 2 bits or fewer, by balls of radius 1.
 
-    Equal fingerprints of a table are met by their smallest key first, so a bucket holds one key per fingerprint and at
-    most bits + 1 keys. Each member is paired with the bucket's smallest and largest key and with the one before it.
+    Keys with equal fingerprints of a table are paired with the smallest and the largest of them; the smallest stands
+    for the fingerprint, so a bucket holds at most BITS + 1 keys, however many there are in all. Each member is paired
+    with the bucket's smallest key and the LAGS keys before it.
     """
     flat = prints.select(key, F.posexplode(fps).alias("t", "fp")).select(
         F.col(key).alias("id"), F.expr("fp | shiftleft(cast(t as long), 56)").alias("fp")
     )
     firsts = stored(flat.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")), "simhash-firsts")
     shared = firsts.where("first != last")
-    same = flat.join(shared, "fp").where("id != first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    same = flat.join(shared, "fp").select(F.col("id").alias("a"), F.explode(F.array("first", "last")).alias("b"))
     flips = F.expr(f"concat(array(0L), transform(sequence(0, {BITS - 1}), i -> shiftleft(1L, i)))")
     balls = firsts.select(F.col("first").alias("id"), "fp", F.explode(flips).alias("flip")).select("id", F.expr("fp ^ flip").alias("variant"))
     w = Window.partitionBy("variant").orderBy("id")
-    met = balls.select(
-        "id", F.first("id").over(w).alias("x"), F.lag("id").over(w).alias("y")
-    ).where("id != x")
-    pairs = met.select(F.col("id").alias("a"), F.explode(F.array("x", "y")).alias("b")).union(same)
+    before = [F.lag("id", n).over(w).alias(f"y{n}") for n in range(1, LAGS + 1)]
+    met = balls.select("id", F.first("id").over(w).alias("x"), *before).where("id != x")
+    pairs = met.select(F.col("id").alias("a"), F.explode(F.array("x", *(f"y{n}" for n in range(1, LAGS + 1)))).alias("b")).union(same)
     return pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-BITS, TABLES = 40, 6
+#: Bits of a fingerprint, fingerprints of a text, and partners in a bucket besides its first key.
+BITS, TABLES, LAGS = 40, 7, 6
 
 
 def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
