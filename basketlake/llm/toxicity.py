@@ -48,7 +48,7 @@ class Machine:
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.logit(self.kept(text)), -40, 40))))
 
-    def fit(self, rows: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.1, decay: float = 1e-4) -> None:
+    def fit(self, rows: list[np.ndarray], labels: np.ndarray, rounds: int = 150, rate: float = 0.5, decay: float = 1e-4) -> None:
         """Logistic loss over all rows, AdaGrad steps on w0, the weights and the factors."""
         n = len(rows)
         row = np.repeat(np.arange(n), [len(r) for r in rows])
@@ -84,7 +84,7 @@ class Machine:
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Learns from (doc_id, toxic) on at most sample_rows labelled documents, those of the smallest hashes.
 
-    Terms are kept where their share among toxic and other documents differs by 3 standard errors or more, at most
+    Terms are kept where their share among toxic and other documents differs by 4 standard errors or more, at most
     TERMS of them, the clearest first; counts are taken by Spark, and only kept terms reach the driver.
     """
     picked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -102,7 +102,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     )
     p = F.col("n") / (bad + good)
     z = F.abs(F.col("b") / bad - (F.col("n") - F.col("b")) / good) / F.sqrt(p * (1 - p) * (1 / bad + 1 / good) + 1e-12)
-    clear = counts.withColumn("z", z).where("z >= 3 and n >= 3").orderBy(F.desc("z"), "term").limit(TERMS).select("term")
+    clear = counts.withColumn("z", z).where("z >= 4 and n >= 3").orderBy(F.desc("z"), "term").limit(TERMS).select("term")
     terms = np.array([r["term"] for r in clear.collect()], dtype=np.int64)
     machine = Machine(terms)
     kept = F.array_intersect("terms", F.lit(terms.tolist()) if len(terms) else F.array().cast("array<int>"))
