@@ -9,7 +9,7 @@ from basketlake.fixed_values import (
     CURVE_EXPONENT,
     CURVE_OFFSET,
     DEFAULT_REVENUE_SHARE,
-    DEPARTMENTS,
+    BOOK_DEPARTMENTS,
     EXCLUDED_DEPARTMENTS,
     IMPLAUSIBLE_MARGIN,
     MARGIN_CEILING,
@@ -159,7 +159,7 @@ def impute_costs(items: DataFrame) -> DataFrame:
     ).drop("_median")
 
 
-def build_items(book: DataFrame, department_names: dict[str, str] = DEPARTMENTS) -> DataFrame:
+def build_items(book: DataFrame, department_names: dict[str, str] = BOOK_DEPARTMENTS) -> DataFrame:
     """Item master without the demand columns; `ord` and `recovered` stay for later steps."""
     rows = clean(book)
     votes = category_votes(rows)
@@ -197,19 +197,19 @@ def rank_weights(items: DataFrame) -> DataFrame:
     """Demand weight per item from its rank in the department: 1 / (rank + offset) ^ exponent, with noise."""
     percentile = price_percentiles(items)
     scored = left_join(
-        items.select("item_id", "department_code", "unit_price"), percentile, ["department_code", "unit_price"], ["item_id"]
+        items.select("ord", "item_id", "department_code", "unit_price"), percentile, ["department_code", "unit_price"], ["ord"]
     )
     score = (
         F.lit(RANK_PRICE_WEIGHT) * (1 - F.col("percentile")) + F.lit(RANK_NOISE_WEIGHT) * _uniform(F.col("item_id"), 0)
     )
     scored = scored.select(
-        "department_code", "unit_price", F.struct((-score).alias("score"), F.col("item_id").alias("item_id")).alias("place")
+        "department_code", "unit_price", F.struct((-score).alias("score"), F.col("item_id").alias("item_id"), F.col("ord").alias("ord")).alias("place")
     )
     ranked = positions(scored, ["department_code"], "place", F.floor(F.col("place.score") * 1000))
     noise = F.lit(NOISE_LOW) + F.lit(NOISE_HIGH - NOISE_LOW) * _uniform(F.col("place.item_id"), 1)
     weight = F.lit(1.0) / F.pow(F.col("before") + 1 + CURVE_OFFSET, F.lit(CURVE_EXPONENT))
     weights = ranked.select(
-        "department_code", F.col("place.item_id").alias("item_id"), (F.col("before") + 1).alias("rank"),
+        "department_code", F.col("place.item_id").alias("item_id"), F.col("place.ord").alias("ord"), (F.col("before") + 1).alias("rank"),
         F.round(weight * noise, 8).alias("weight"),
     )
     return stored(weights, "weights")
@@ -217,8 +217,13 @@ def rank_weights(items: DataFrame) -> DataFrame:
 
 def demand_weights(items: DataFrame, shares: dict[str, float] = TARGET_REVENUE_SHARE) -> DataFrame:
     """Popularity per item, scaled so each department lands on its target share of revenue; the largest is 1."""
-    weights = rank_weights(items).drop("department_code")
-    priced = items.select("item_id", "department_code", "unit_price").join(weights, "item_id")
+    return popularity(items, shares).drop("ord")
+
+
+def popularity(items: DataFrame, shares: dict[str, float] = TARGET_REVENUE_SHARE) -> DataFrame:
+    """The same per row of the book, by `ord`: two barcodes that pad alike stay two rows."""
+    weights = rank_weights(items).drop("department_code", "item_id")
+    priced = items.select("ord", "item_id", "department_code", "unit_price").join(weights, "ord")
     exact = F.col("weight").cast("decimal(12,8)") * F.col("unit_price").cast("decimal(12,2)")
     expected = priced.groupBy("department_code").agg(F.sum(exact).cast("double").alias("_expected"))
     target = F.coalesce(_looked_up(F.col("department_code"), shares), F.lit(DEFAULT_REVENUE_SHARE))
@@ -226,11 +231,11 @@ def demand_weights(items: DataFrame, shares: dict[str, float] = TARGET_REVENUE_S
         "department_code",
         F.when(F.col("_expected") > 0, target / F.col("_expected")).otherwise(F.lit(1.0)).alias("_factor"),
     )
-    scaled = left_join(priced, factors, ["department_code"], ["item_id"]).withColumn(
+    scaled = left_join(priced, factors, ["department_code"], ["ord"]).withColumn(
         "popularity", F.col("weight") * F.col("_factor")
     )
     biggest = scaled.agg(F.max("popularity").alias("m")).scalar()
-    return scaled.select("item_id", "rank", "weight", F.round(F.col("popularity") / biggest, 9).alias("popularity"))
+    return scaled.select("ord", "item_id", "rank", "weight", F.round(F.col("popularity") / biggest, 9).alias("popularity"))
 
 
 def overlay_movement(items: DataFrame, actuals: DataFrame) -> DataFrame:
@@ -278,10 +283,10 @@ def overlay_movement(items: DataFrame, actuals: DataFrame) -> DataFrame:
     }).drop("_code", "_category", "_rate", "_cost", "_covered")
 
 
-def item_master(book: DataFrame, actuals: DataFrame | None = None, department_names: dict[str, str] = DEPARTMENTS) -> DataFrame:
+def item_master(book: DataFrame, actuals: DataFrame | None = None, department_names: dict[str, str] = BOOK_DEPARTMENTS) -> DataFrame:
     """The whole job: price book, and movement where there is any, to the 21-column item master."""
     items = build_items(book, department_names)
-    full = items.join(demand_weights(items).select("item_id", "popularity"), "item_id")
+    full = items.join(popularity(items).select("ord", "popularity"), "ord")
     if actuals is None:
         full = full.withColumns({
             "observed_units_per_day": F.lit(None).cast("double"), "demand_source": F.lit("modelled"),

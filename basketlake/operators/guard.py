@@ -22,10 +22,25 @@ class QueryRefused(ValueError):
     """A query that is not run."""
 
 
+#: Leaves of a plan that read no stored table.
+_NO_TABLE = {"LocalTableScanExec", "RangeExec", "OneRowRelationExec", "EmptyRelationExec"}
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.length())]
+
+
 def _scans(df: DataFrame) -> list:
-    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
-    scans = [leaves.apply(i) for i in range(leaves.length())]
-    return [s for s in scans if s.getClass().getSimpleName() == "FileSourceScanExec"]
+    """The file scans of a plan and of all its subqueries. Other ways of reading are refused: their size is not known."""
+    run = df._jdf.queryExecution()
+    planner = run.sparkSession().sessionState().planner()
+    plans = [run.sparkPlan(), *(planner.plan(sub).next() for sub in _items(run.optimizedPlan().subqueriesAll()))]
+    leaves = [leaf for plan in plans for leaf in _items(plan.collectLeaves())]
+    kinds = [(leaf.getClass().getSimpleName(), leaf) for leaf in leaves]
+    unknown = {kind for kind, _ in kinds} - _NO_TABLE - {"FileSourceScanExec"}
+    if unknown:
+        raise QueryRefused(f"cannot tell what {', '.join(sorted(unknown))} would read")
+    return [leaf for kind, leaf in kinds if kind == "FileSourceScanExec"]
 
 
 def unpruned_tables(df: DataFrame) -> list[str]:

@@ -18,11 +18,11 @@ def department_code(value: str | None) -> str | None:
     wanted = str(value).strip()
     if wanted in DEPARTMENTS:
         return wanted
-    return next((code for code, names in DEPARTMENT_ALIASES.items() if wanted.lower() in names), None)
+    return DEPARTMENT_ALIASES.get(wanted.lower())
 
 
-def _lookup(key: Column, aliases: dict[str, tuple[str, ...]]) -> Column:
-    pairs = [F.lit(x) for code, names in aliases.items() for name in names for x in (name, code)]
+def _lookup(key: Column, aliases: dict[str, str]) -> Column:
+    pairs = [F.lit(x) for pair in aliases.items() for x in pair]
     return F.try_element_at(F.create_map(*pairs), key)
 
 

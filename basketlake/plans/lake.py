@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +45,7 @@ class Lake:
     catalogue: DataFrame | None = None
     rollup_item: DataFrame | None = None
     rollup_dept: DataFrame | None = None
-    as_of: dt.date = dt.date.today()
+    as_of: dt.date = field(default_factory=dt.date.today)
     history_start: dt.date = DEFAULT_HISTORY_START
 
     def route(self, columns: set[str]) -> str:

@@ -12,9 +12,8 @@ from pyspark.sql import Window as W
 
 from basketlake.functions import flags
 from basketlake.functions.numbers import percent_change, ratio
-from basketlake.functions.text import pad_barcode
 from basketlake.plans.lake import Lake
-from basketlake.plans.reports import in_scope, money_sums, ranked_list, sales
+from basketlake.plans.reports import in_scope, item_code, money_sums, ranked_list, sales
 
 
 def dept_growth_qoq(lake: Lake, period: str = "all_time") -> DataFrame:
@@ -122,8 +121,8 @@ def slow_mover_capital(
     The log holds no stock levels, so this ranks what one unit ties up.
     """
     rows = sales(lake, period, ("item_id", "units"))
-    sold = rows.groupBy(pad_barcode(F.col("item_id")).alias("item_id")).agg(*money_sums("units"))
-    full = lake.catalogue.join(sold, "item_id", "left").na.fill(0, ["units"])
+    sold = rows.groupBy(item_code().alias("code")).agg(*money_sums("units"))
+    full = lake.catalogue.withColumn("code", item_code()).join(sold, "code", "left").na.fill(0, ["units"])
     slow = full.where((F.col("units") <= max_units) & (F.col("unit_cost") > 0))
     listed = ranked_list(slow, [F.desc("unit_cost"), F.col("item_id")], limit)
     return listed.select(

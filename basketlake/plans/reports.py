@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from basketlake.fixed_values import DEPARTMENTS
 from basketlake.functions import dates, flags
 from basketlake.functions.numbers import percent_change, ratio
-from basketlake.functions.text import pad_barcode
+from basketlake.functions.text import strip_zeros
 from basketlake.operators import resolve
 from basketlake.plans.lake import Lake
 
@@ -25,10 +25,15 @@ def department_filter(department: str | None) -> str | None:
 
 def in_scope(
     lake: Lake, rows: DataFrame, period: str, store_id: str | None = None, department: str | None = None,
-    category: str | None = None,
+    category: str | None = None, named: DataFrame | None = None,
 ) -> DataFrame:
-    """Rows of a period, and of one store, department or category where one is asked for."""
-    rows = dates.in_period(rows, *dates.period_bounds(period, lake.as_of, lake.history_start))
+    """Rows of a period, and of one store, department or category where one is asked for.
+
+    A category's name is looked up among all rows of the period (of `named`, if given), not only those asked for.
+    """
+    bounds = dates.period_bounds(period, lake.as_of, lake.history_start)
+    rows = dates.in_period(rows, *bounds)
+    named = rows if named is None else dates.in_period(named, *bounds)
     if store_id:
         rows = rows.where(F.col("store_id") == store_id)
     code = department_filter(department)
@@ -36,7 +41,7 @@ def in_scope(
         rows = rows.where(F.col("department_code") == code)
     if category:
         # One row at most; the name is looked up inside the same plan.
-        match = resolve.resolve_category(rows, [category]).select("category_name")
+        match = resolve.resolve_category(named, [category]).select("category_name")
         rows = rows.join(match, "category_name", "left_semi")
     return rows
 
@@ -46,8 +51,8 @@ def sales(lake: Lake, period: str, columns: tuple[str, ...], **scope) -> DataFra
     used |= {name for name in ("store_id",) if scope.get(name)}
     used |= {"department_code"} if scope.get("department") else set()
     used |= {"category_name"} if scope.get("category") else set()
-    rows = lake.measures(*used).where(F.col("transaction_type") == "SALE")
-    return in_scope(lake, rows, period, **scope)
+    rows = lake.measures(*used)
+    return in_scope(lake, rows.where(F.col("transaction_type") == "SALE"), period, named=rows, **scope)
 
 
 def money_sums(*names: str) -> list[Column]:
@@ -122,7 +127,8 @@ def sales_summary(
 def tender_scope(lake: Lake, period: str, columns: tuple[str, ...], tender: str | None) -> DataFrame:
     rows = sales(lake, period, ("tender_type", *columns)).where(F.col("tender_type") != "")
     if tender:
-        match = resolve.resolve_tender(rows, [tender]).select("tender_type")
+        named = in_scope(lake, lake.measures("sale_date", "tender_type"), period).where(F.col("tender_type") != "")
+        match = resolve.resolve_tender(named, [tender]).select("tender_type")
         rows = rows.join(match, "tender_type", "left_semi")
     return rows
 
@@ -294,15 +300,20 @@ def range_activity(lake: Lake, period: str = "last_90_days", department: str | N
 
 
 def sold_items(lake: Lake, period: str, any_activity: bool = False) -> DataFrame:
-    """Items with a sale in the period, under the catalogue's spelling of the barcode."""
+    """(code,) of items with a sale in the period; see item_code."""
     rows = lake.measures("sale_date", "transaction_type", "item_id")
     if not any_activity:
         rows = rows.where(F.col("transaction_type") == "SALE")
-    return in_scope(lake, rows, period).select(pad_barcode(F.col("item_id")).alias("item_id")).distinct()
+    return in_scope(lake, rows, period).select(item_code().alias("code")).distinct()
+
+
+def item_code() -> Column:
+    """The barcode without zeros in front, in which log and catalogue agree whatever their padding; zeros alone match nothing."""
+    return F.nullif(strip_zeros(F.col("item_id")), F.lit(""))
 
 
 def catalogue_items(lake: Lake, department: str | None = None) -> DataFrame:
-    items = lake.catalogue
+    items = lake.catalogue.withColumn("code", item_code())
     code = department_filter(department)
     return items.where(F.col("department_code") == code) if code else items
 
@@ -312,7 +323,7 @@ def dead_stock(
     any_activity: bool = False,
 ) -> DataFrame:
     """The dearest catalogue items that did not sell in the period."""
-    idle = catalogue_items(lake, department).join(sold_items(lake, period, any_activity), "item_id", "left_anti")
+    idle = catalogue_items(lake, department).join(sold_items(lake, period, any_activity), "code", "left_anti")
     price, cost = F.col("unit_price").cast("double"), F.col("unit_cost").cast("double")
     listed = ranked_list(idle, [F.desc("unit_price"), F.col("item_id")], limit)
     return listed.select(
@@ -323,7 +334,7 @@ def dead_stock(
 
 def _idle_counts(lake: Lake, period: str, department: str | None, any_activity: bool) -> DataFrame:
     sold = sold_items(lake, period, any_activity).withColumn("_sold", F.lit(1))
-    return catalogue_items(lake, department).join(sold, "item_id", "left")
+    return catalogue_items(lake, department).join(sold, "code", "left")
 
 
 def _unsold() -> list[Column]:

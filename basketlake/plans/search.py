@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from basketlake.fixed_values import SEARCH_STOP_WORDS, STEM_MIN_RESULT, STEM_MIN_WORD, STEM_SUFFIXES
 from basketlake.functions.numbers import ratio
-from basketlake.functions.text import pad_barcode, strip_zeros
+from basketlake.functions.text import strip_zeros
 from basketlake.operators.resolve import contains_all
 from basketlake.plans.lake import Lake
-from basketlake.plans.reports import MONEY, in_scope, money_sums, ranked_list, sales
+from basketlake.plans.reports import MONEY, in_scope, item_code, money_sums, ranked_list, sales
 
 
 def stem_word(word: str) -> str:
@@ -136,14 +136,14 @@ def search_barcode_catalogue(
     items = lake.catalogue.where(_is_barcode(code))
     rows = sales(lake, period, ("item_id", "transaction_id", *MONEY), store_id=store_id)
     sold = (
-        rows.withColumn("item_id", pad_barcode(F.col("item_id")))
+        rows.withColumn("code", item_code())
         .where(_is_barcode(code))
-        .groupBy("item_id", "transaction_id")
+        .groupBy("code", "transaction_id")
         .agg(*[F.sum(m).alias(m) for m in MONEY])
-        .groupBy("item_id")
+        .groupBy("code")
         .agg(*money_sums(*MONEY), F.count(F.lit(1)).alias("baskets"))
     )
-    full = items.join(sold, "item_id", "left").na.fill(0, [*MONEY, "baskets"])
+    full = items.withColumn("code", item_code()).join(sold, "code", "left").na.fill(0, [*MONEY, "baskets"])
     listed = ranked_list(full, [F.desc("revenue"), F.col("item_id")], limit)
     return listed.select(
         "position", "item_id", "item_desc", "department_name", "category_name",
@@ -155,8 +155,8 @@ def search_not_sold(lake: Lake, query: str, period: str = "last_30_days", limit:
     """Catalogue items that match and are carried, but did not sell in the period."""
     items = lake.catalogue.where(contains_all("item_desc", query_terms(query)))
     rows = in_scope(lake, lake.measures("sale_date", "transaction_type", "item_id"), period)
-    sold = rows.where(F.col("transaction_type") == "SALE").select(pad_barcode(F.col("item_id")).alias("item_id"))
-    idle = items.join(sold.distinct(), "item_id", "left_anti")
+    sold = rows.where(F.col("transaction_type") == "SALE").select(item_code().alias("code"))
+    idle = items.withColumn("code", item_code()).join(sold.distinct(), "code", "left_anti")
     listed = ranked_list(idle, [F.col("item_id")], limit)
     return listed.select(
         "position", "item_id", "item_desc", "department_name", F.col("unit_price").cast("double").alias("unit_price")

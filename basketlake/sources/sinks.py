@@ -51,11 +51,14 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def write_log(record_lines: DataFrame, path: str, value: str = "value") -> None:
-    """Write log lines as .dat files below year/month. Needs those columns, file and ord."""
+    """Write log lines as .dat files below year/month. Needs those columns, file and ord.
+
+    Lines of one file go to one task, whatever the size of the month, so no basket is ever cut.
+    """
     keys = list(LAYOUT)
     (
         record_lines.select(*keys, "file", "ord", value)
-        .hint("rebalance", *keys)
+        .repartition(*keys, "file")
         .sortWithinPartitions(*keys, "file", "ord")
         .drop("file", "ord")
         .write.mode("overwrite")

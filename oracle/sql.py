@@ -242,11 +242,11 @@ SELECT lang, {_season('blob', 'category')} AS season, count(*) AS documents FROM
 _STOP = ", ".join(quoted(w) for w in SEARCH_STOP_WORDS)
 oracle("stem_terms", f"""
 WITH words AS (SELECT lower(unnest(regexp_split_to_array(trim(replace(text, ',', ' ')), '\\s+'))) AS w FROM conversations),
-good AS (SELECT w, length(w) AS n FROM words WHERE w <> '' AND w NOT IN ({_STOP}) AND regexp_full_match(w, '[a-z]+')),
+good AS (SELECT w, length(w) AS n FROM words WHERE w <> '' AND w NOT IN ({_STOP})),
 cut AS (SELECT w, n, CASE WHEN ends_with(w, 'ies') THEN 3 WHEN ends_with(w, 'ches') OR ends_with(w, 'shes') OR ends_with(w, 'ses') THEN 2
                           WHEN ends_with(w, 's') OR ends_with(w, 'y') THEN 1 ELSE 0 END AS c FROM good)
 SELECT CASE WHEN n >= 6 AND n - c >= 4 THEN left(w, n - c) ELSE w END AS term, count(*) AS uses FROM cut GROUP BY ALL""")
-_ALIASES = ", ".join(f"({quoted(a)}, '{code}')" for code, names in DEPARTMENT_ALIASES.items() for a in names)
+_ALIASES = ", ".join(f"({quoted(a)}, '{code}')" for a, code in DEPARTMENT_ALIASES.items())
 _CODES = ", ".join(f"('{code}')" for code in DEPARTMENTS)
 oracle("resolve_department", f"""
 WITH said AS (SELECT CASE p_type WHEN 'PROMO' THEN ' Frozen Food ' WHEN 'SMALL' THEN 'veg' WHEN 'LARGE' THEN 'HBA'
@@ -520,7 +520,12 @@ oracle("category_recovery", """
 SELECT dept4, coalesce(nullif(category, ''), voted, '') AS category, CASE WHEN category = '' AND voted IS NOT NULL THEN 1 ELSE 0 END AS recovered, count(*) AS rows
   FROM clean LEFT JOIN catvote USING (dept4) GROUP BY ALL""")
 oracle("cost_imputation", "SELECT item_id, department_code, unit_price, unit_cost, cost_source, round((unit_price - unit_cost) / unit_price * 100, 1) AS margin_pct FROM built")
-_DEPT_NAME = "CASE department_code " + " ".join(f"WHEN '{c}' THEN {quoted(n)}" for c, n in DEPARTMENTS.items()) + " ELSE 'Dept ' || department_code END"
+_BOOK_NAMES = {
+    10: "Alcohol", 11: "Produce", 12: "Kitchen", 13: "Meat", 14: "Deli", 15: "Caviar", 16: "Dairy", 17: "Bread", 18: "Pet", 19: "Seafood",
+    20: "Bakery", 21: "Frozen", 22: "Grocery", 25: "Non-Food", 26: "Dry Goods", 27: "Pickled", 28: "Garden", 30: "Reusable Bags", 31: "Soda",
+    32: "Beer", 33: "Bottle Deposit", 34: "Gift", 35: "Online Fees", 40: "Garden",
+}
+_DEPT_NAME = "CASE department_code " + " ".join(f"WHEN '{c}' THEN {quoted(n)}" for c, n in _BOOK_NAMES.items()) + " ELSE 'Dept ' || department_code END"
 oracle("item_master_build", f"""
 SELECT item_id, upc, left(description, 60) AS item_desc, {_product_key('description')} AS product_key,
        coalesce(nullif(left(register_text, 22), ''), left(description, 22)) AS pos_desc, department_code, {_DEPT_NAME} AS department_name,

@@ -246,11 +246,10 @@ def season_tag(spark, sf):
 
 @query
 def stem_terms(spark, sf):
-    """Search words of every user turn of the conversations, stemmed and counted."""
+    """Search words of every turn of the conversations, stemmed and counted."""
     turns = sample.table(spark, sf, "conversations")
     words = turns.select(F.explode(text.search_words(F.col("text"))).alias("word"))
-    ascii_words = words.where(F.col("word").rlike("^[A-Za-z]+$"))
-    return ascii_words.groupBy(text.stem(F.col("word")).alias("term")).agg(F.count(F.lit(1)).alias("uses"))
+    return words.groupBy(text.stem(F.col("word")).alias("term")).agg(F.count(F.lit(1)).alias("uses"))
 
 
 @query
