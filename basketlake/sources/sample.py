@@ -11,7 +11,8 @@ from pyspark.sql.types import StructType
 from basketlake.functions import dates
 from basketlake.operators.lines import enrich, classify, render
 from basketlake.plans.lake import Lake
-from basketlake.sources import mapping
+from basketlake.session import work_dir
+from basketlake.sources import mapping, sinks
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -54,9 +55,30 @@ def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(pos_items(spark, sf_dir), item_master(spark, sf_dir))
 
 
+_STORED: dict[tuple, str] = {}
+
+
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """When the tables that detail comes from were last written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = [path(f"{sf_dir}/{name}.parquet") for name in ("region", "nation", "customer", "part", "orders", "lineitem")]
+    return tuple(f.getFileSystem(conf).getFileStatus(f).getModificationTime() for f in files)
+
+
+def stored_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail as a stored table below year/month: written once per session and version of the sample, read by every report."""
+    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
+    if key not in _STORED:
+        path = work_dir(spark, "detail")
+        sinks.write_table(detail(spark, sf_dir), path, "transaction_ts")
+        _STORED[key] = path
+    return sinks.read_table(spark, _STORED[key])
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(
-        detail=detail(spark, sf_dir),
+        detail=stored_detail(spark, sf_dir),
         catalogue=item_master(spark, sf_dir),
         as_of=AS_OF,
         history_start=HISTORY_START,
