@@ -335,12 +335,12 @@ def shown(rollup: DataFrame) -> DataFrame:
 
 @query
 def rollup_item(spark, sf):
-    return shown(rollups.item_rollup(sample.detail(spark, sf)))
+    return shown(rollups.item_rollup(sample.stored_detail(spark, sf)))
 
 
 @query
 def rollup_dept(spark, sf):
-    return shown(rollups.dept_rollup(sample.detail(spark, sf)))
+    return shown(rollups.dept_rollup(sample.stored_detail(spark, sf)))
 
 
 @query
