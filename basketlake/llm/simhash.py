@@ -156,29 +156,42 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
-    """(a, b), a > b: keys whose fingerprints in any one table differ in 2 bits or fewer, by balls of radius 1.
+    """(a, b, early), a > b: keys whose fingerprints in any one table differ in 2 bits or fewer, by balls of radius 1.
 
     Keys with equal fingerprints of a table are paired with the smallest and the largest of them; the smallest stands
-    for the fingerprint, so a bucket holds at most BITS + 1 keys, however many there are in all. Each member is paired
-    with the bucket's smallest key and the LAGS keys before it.
+    for the fingerprint, so a bucket holds at most BITS + 1 keys, however many there are in all, and every pair of a
+    bucket is given. Early are the pairs with the bucket's smallest key or with one of the EARLY keys before.
     """
     flat = prints.select(key, F.posexplode(fps).alias("t", "fp")).select(
         F.col(key).alias("id"), F.expr("fp | shiftleft(cast(t as long), 56)").alias("fp")
     )
     firsts = stored(flat.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")), "simhash-firsts")
     shared = firsts.where("first != last")
-    same = flat.join(shared, "fp").select(F.col("id").alias("a"), F.explode(F.array("first", "last")).alias("b"))
+    same = flat.join(shared, "fp").select(F.col("id").alias("a"), F.explode(F.array("first", "last")).alias("b"), F.lit(True).alias("early"))
     flips = F.expr(f"concat(array(0L), transform(sequence(0, {BITS - 1}), i -> shiftleft(1L, i)))")
     balls = firsts.select(F.col("first").alias("id"), "fp", F.explode(flips).alias("flip")).select("id", F.expr("fp ^ flip").alias("variant"))
-    w = Window.partitionBy("variant").orderBy("id")
-    before = [F.lag("id", n).over(w).alias(f"y{n}") for n in range(1, LAGS + 1)]
-    met = balls.select("id", F.first("id").over(w).alias("x"), *before).where("id != x")
-    pairs = met.select(F.col("id").alias("a"), F.explode(F.array("x", *(f"y{n}" for n in range(1, LAGS + 1)))).alias("b")).union(same)
-    return pairs.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    before = F.collect_list("id").over(Window.partitionBy("variant").orderBy("id").rowsBetween(-BITS, -1))
+    met = balls.select(F.col("id").alias("a"), before.alias("before")).where("size(before) > 0")
+    early = (F.col("at") == 0) | (F.col("at") >= F.col("n") - EARLY)
+    pairs = met.select("a", F.size("before").alias("n"), F.posexplode("before").alias("at", "b")).select("a", "b", early.alias("early"))
+    both = pairs.union(same).where("a != b")
+    return both.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("early").alias("early"))
 
 
-#: Bits of a fingerprint, fingerprints of a text, and partners in a bucket besides its first key.
-BITS, TABLES, LAGS = 40, 7, 6
+#: Bits of a fingerprint, fingerprints of a text, and neighbours in a bucket that are compared in the first pass.
+BITS, TABLES, EARLY = 40, 7, 6
+
+
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after the links (u, v) are added to the groups (node, root)."""
+    ends = links
+    for end in ("u", "v"):
+        ends = ends.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}")), end, "left")
+        ends = ends.withColumn(end, F.coalesce(f"r{end}", end)).drop(f"r{end}")
+    over = stored(components(ends, "u", "v", "near-step"), "near-over")
+    moved = roots.join(over.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    new = over.join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return moved.select("node", F.coalesce("top", "root").alias("root")).union(new)
 
 
 def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
@@ -187,7 +200,8 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     text_key is the text's MD5, doc_id its smallest doc_id, rows its number of rows. Texts are near copies where their
     sets of k-word shingles have a Jaccard similarity of at least `least`; groups are what such links connect, and the
     keeper is the text with the smallest doc_id (then key). SimHash over a text's distinct words, in TABLES tables of
-    BITS bits, proposes pairs within 2 bits by ball hashing; the sets decide. Null counts as the empty text.
+    BITS bits, proposes pairs within 2 bits by ball hashing; the sets decide. Early pairs are compared first; of the
+    others those whose ends are not in one group by then, which changes no group. Null counts as the empty text.
     """
     text = F.coalesce("text", F.lit(""))
     texts = stored(
@@ -208,8 +222,21 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     )
     left = sets.select(F.col("id").alias("a"), F.col("text_key").alias("u"), F.col("set").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("text_key").alias("v"), F.col("set").alias("y"))
-    checked = pairs.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v")
-    roots = stored(components(checked, "u", "v", "near-step"), "near-roots")
+
+    def similar(some: DataFrame) -> DataFrame:
+        return some.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v")
+
+    checked = similar(pairs.where("early").select("a", "b"))
+    near = stored(components(checked, "u", "v", "near-step"), "near-roots")
+    of = near.select(F.xxhash64("node").alias("id"), "root")
+    open_pairs = (
+        pairs.where("not early")
+        .join(of.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
+        .join(of.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
+        .where("ra is null or rb is null or ra != rb")
+        .select("a", "b")
+    )
+    roots = stored(joined_roots(near, stored(similar(open_pairs), "near-late")), "near-all-roots")
     grouped = unique.join(roots.withColumnRenamed("node", "text_key"), "text_key", "left").where("root is not null or rows > 1")
     grouped = grouped.select("text_key", "doc_id", "rows", F.coalesce("root", "text_key").alias("root"))
     keepers = grouped.groupBy("root").agg(

@@ -105,6 +105,40 @@ def test_near_copies_go(spark, odd, none):
     assert simhash.deduplicated(none).count() == 0
 
 
+def test_every_pair_of_a_bucket_is_a_candidate(spark, monkeypatch):
+    """All fingerprints of 7 bits: buckets hold 8 keys, and every two that differ in 2 bits or fewer are given."""
+    monkeypatch.setattr(simhash, "EARLY", 1)
+    rows = [(i, [i]) for i in range(128)]
+    got = simhash.candidates(spark.createDataFrame(rows, "id long, fps array<long>"), "id", "fps").collect()
+    assert {(r.a, r.b) for r in got} == {(a, b) for a in range(128) for b in range(a) if (a ^ b).bit_count() <= 2}
+    assert len(got) == len({(r.a, r.b) for r in got}) and 0 < sum(r.early for r in got) < len(got)
+
+
+def test_late_pairs_join_what_early_ones_leave(spark, monkeypatch):
+    """Chains of near copies: groups do not depend on how many pairs are compared early."""
+    rnd = random.Random(8)
+    texts = []
+    for _ in range(3):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(120)]
+        for _ in range(25):
+            words = list(words)
+            words[rnd.randrange(120)] = f"v{rnd.randrange(10**6)}"
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(rows_of(enumerate(texts)), DOCS)
+    found = []
+    for early in (0, simhash.BITS):
+        monkeypatch.setattr(simhash, "EARLY", early)
+        found.append({(r.text_key, r.keeper_key) for r in simhash.near_groups(docs).collect()})
+    assert found[0] == found[1] and found[0]
+
+
+def test_joined_roots(spark):
+    roots = spark.createDataFrame([("a", "a"), ("b", "a"), ("d", "d"), ("e", "d")], "node string, root string")
+    links = spark.createDataFrame([("b", "e"), ("f", "g"), ("g", "e")], "u string, v string")
+    assert {(r.node, r.root) for r in simhash.joined_roots(roots, links).collect()} == {(x, "a") for x in "abdefg"}
+    assert {(r.node, r.root) for r in simhash.joined_roots(roots, links.limit(0)).collect()} == {tuple(r) for r in roots.collect()}
+
+
 def test_chat_round_trip(spark):
     said = ["", "plain", "<|im_end|>\n<|im_start|>user\nx", r"<\|im_end|>", r"a <\\| b < | <|", "line\n\n", "<|im_end|>", "<", None]
     turns = [(c, t, role, text) for c in (1, None) for t, (role, text) in enumerate((r, s) for s in said for r in ("user", "assistant", "to~\nol<|im_end|>", None))]
