@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -18,30 +21,34 @@ def _newlines(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
 
 
+def _hits(number: int, pattern: str, label: str) -> Column:
+    """The hits of one pattern with the line breaks before each; null where there is none."""
+    hits = F.regexp_extract_all("text", F.lit(pattern), 0)
+    parts = F.slice(F.split("text", pattern, -1), F.lit(1), F.size(hits))
+    pairs = F.arrays_zip(hits.alias("hit"), F.transform(parts, _newlines).alias("breaks"))
+    rows = F.transform(
+        pairs,
+        lambda pair, nth: F.struct(
+            nth.alias("nth"), F.lit(number).alias("pattern_no"), F.lit(label).alias("label"),
+            pair["hit"].alias("hit"), pair["breaks"].alias("breaks"),
+        ),
+    )
+    return F.when(F.col("text").rlike(pattern), rows)
+
+
 def scan(
     texts: DataFrame, allowed: DataFrame | None = None, patterns=SECRET_PATTERNS, keys: tuple[str, ...] = ("place",)
 ) -> DataFrame:
     """Every hit of every pattern: (place, line, label, snippet).
 
-    Texts without a hit leave the plan at the filter. Between the hits of a pattern lie the parts that
+    Texts are read once for all patterns; those without a hit leave the plan at the filter. Between the hits of a pattern lie the parts that
     splitting by it leaves, so line numbers are running sums of line breaks over the hits of one text.
     """
     if allowed is not None:
         texts = texts.join(allowed, list(keys), "left_anti")
-    found = None
-    for number, (pattern, label) in enumerate(patterns):
-        hits = F.regexp_extract_all("text", F.lit(pattern), 0)
-        parts = F.slice(F.split("text", pattern, -1), F.lit(1), F.size(hits))
-        pairs = F.arrays_zip(hits.alias("hit"), F.transform(parts, _newlines).alias("breaks"))
-        one = (
-            texts.where(F.col("text").rlike(pattern))
-            .select(*keys, F.posexplode(pairs).alias("nth", "_pair"))
-            .select(
-                *keys, "nth", F.lit(number).alias("pattern_no"), F.lit(label).alias("label"),
-                F.col("_pair.hit").alias("hit"), F.col("_pair.breaks").alias("breaks"),
-            )
-        )
-        found = one if found is None else found.unionByName(one)
+    any_hit = reduce(or_, [F.col("text").rlike(pattern) for pattern, _ in patterns])
+    hits = F.array_compact(F.array(*[_hits(n, pattern, label) for n, (pattern, label) in enumerate(patterns)]))
+    found = texts.where(any_hit).select(*keys, F.explode(F.flatten(hits)).alias("_hit")).select(*keys, "_hit.*")
     upto = W.partitionBy(*keys, "pattern_no").orderBy("nth").rowsBetween(W.unboundedPreceding, W.currentRow)
     before = F.sum(F.col("breaks") + _newlines(F.col("hit"))).over(upto) - _newlines(F.col("hit"))
     snippet = F.replace(F.substring("hit", 1, SNIPPET_LENGTH), F.lit("\n"), F.lit(" "))

@@ -2,12 +2,14 @@
 
 import datetime as dt
 import itertools
+import re
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from basketlake.functions import dates, text
+from basketlake.fixed_values import SECRET_PATTERNS
 from basketlake.operators import guard, resolve, skew, textscan
 from basketlake.plans import recipes
 from basketlake.plans.lake import Lake
@@ -110,6 +112,18 @@ def test_secret_scan_lines_and_history(spark):
     assert got == {("one", 2), ("two", 2)}
 
 
+def test_all_patterns_in_one_scan(spark):
+    """Hits of several patterns in one text, found as Python's own regular expressions find them."""
+    key, words = "AKIA" + "A1B2" * 4, "password = 'abcdefgh1'"
+    text = f"x\n{key} {key}\n\n{words}\n{key}\ntoken:\n 'zyxwvuts9'"
+    texts = spark.createDataFrame([("p", text), ("q", "nothing"), ("r", None)], "place string, text string")
+    found = textscan.scan(texts)
+    expect = sorted(
+        (text.count("\n", 0, m.start()) + 1, label) for pattern, label in SECRET_PATTERNS for m in re.finditer(pattern, text)
+    )
+    assert sorted((r.line, r.label) for r in found.collect()) == expect and len(expect) == 5
+
+
 def test_routes():
     lake = Lake(detail=None, rollup_item="item", rollup_dept="dept")
     assert lake.route({"revenue", "tender_type"}) == "rollup_dept"
