@@ -16,8 +16,8 @@ TOKEN_TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
 SIEVE_BITS = 1 << 23
-#: Rows of an Arrow batch. Batches hold whole texts, on both sides of the socket; Spark's own 10,000 take tens of MB each.
-BATCH_ROWS = 1_000
+#: Bounds of an Arrow batch, which holds whole texts on both sides of the socket; one row at least is sent.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def spaced_words(text: str) -> list[bytes]:
@@ -31,8 +31,9 @@ def token_words(text: str) -> list[bytes]:
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder; from then on the session sends BATCH_ROWS rows at a time to Python."""
+    """A table of the folder; from then on the session sends BATCH_ROWS rows or BATCH_BYTES bytes at a time to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
