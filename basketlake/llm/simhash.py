@@ -155,12 +155,17 @@ def similarity(a: Column, b: Column) -> Column:
     return jaccard(a, b)
 
 
+def _flipped(column: str, flip: str) -> Column:
+    """The column with the bit at the place `flip` turned; unchanged where that is BITS."""
+    return F.expr(f"{column} ^ if({flip} = {BITS}, 0L, shiftleft(1L, cast({flip} as int)))")
+
+
 def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
     """(a, b, early), a > b: keys whose fingerprints in any one table differ in 2 bits or fewer, by balls of radius 1.
 
     Keys with equal fingerprints of a table are paired with the smallest and the largest of them; the smallest stands
     for the fingerprint, so a bucket holds at most BITS + 1 keys, however many there are in all, and every pair of a
-    bucket is given. Early are the pairs with the bucket's smallest key or with one of the EARLY keys before.
+    bucket is given. Early are the pairs with the bucket's first member or with one of the EARLY members before.
     """
     flat = prints.select(key, F.posexplode(fps).alias("t", "fp")).select(
         F.col(key).alias("id"), F.expr("fp | shiftleft(cast(t as long), 56)").alias("fp")
@@ -168,12 +173,22 @@ def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
     firsts = stored(flat.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")), "simhash-firsts")
     shared = firsts.where("first != last")
     same = flat.join(shared, "fp").select(F.col("id").alias("a"), F.explode(F.array("first", "last")).alias("b"), F.lit(True).alias("early"))
-    flips = F.expr(f"concat(array(0L), transform(sequence(0, {BITS - 1}), i -> shiftleft(1L, i)))")
-    balls = firsts.select(F.col("first").alias("id"), "fp", F.explode(flips).alias("flip")).select("id", F.expr("fp ^ flip").alias("variant"))
-    before = F.collect_list("id").over(Window.partitionBy("variant").orderBy("id").rowsBetween(-BITS, -1))
-    met = balls.select(F.col("id").alias("a"), before.alias("before")).where("size(before) > 0")
-    early = (F.col("at") == 0) | (F.col("at") >= F.col("n") - EARLY)
-    pairs = met.select("a", F.size("before").alias("n"), F.posexplode("before").alias("at", "b")).select("a", "b", early.alias("early"))
+    # a row of a ball is its variant and the place of the flip (BITS: none), which give the fingerprint back
+    balls = firsts.select("fp", F.explode(F.sequence(F.lit(0), F.lit(BITS))).alias("flip")).select(
+        _flipped("fp", "flip").alias("variant"), F.col("flip").cast("byte").alias("flip")
+    )
+    before = F.collect_list("flip").over(Window.partitionBy("variant").orderBy("flip").rowsBetween(-BITS, -1))
+    met = balls.select("variant", "flip", before.alias("before")).where("size(before) > 0")
+    early = (F.col("at") == F.col("n") - 1) | (F.col("at") < EARLY)
+    fp_pairs = (
+        met.select("variant", "flip", F.size("before").alias("n"), F.posexplode(F.reverse("before")).alias("at", "other"))
+        .select(_flipped("variant", "flip").alias("x"), _flipped("variant", "other").alias("y"), early.alias("early"))
+        .groupBy(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+        .agg(F.max("early").alias("early"))
+    )
+    for end, name in (("x", "a"), ("y", "b")):
+        fp_pairs = fp_pairs.join(firsts.select(F.col("fp").alias(end), F.col("first").alias(name)), end)
+    pairs = fp_pairs.select("a", "b", "early")
     both = pairs.union(same).where("a != b")
     return both.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("early").alias("early"))
 
@@ -220,6 +235,11 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
         .select("id", F.md5("text").alias("text_key"), shingle_set(F.col("text"), k).alias("set")),
         "near-sets",
     )
+    sizes = sets.groupBy("id").agg(F.min(F.size("set")).alias("lo"), F.max(F.size("set")).alias("hi"))
+    for end in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("id").alias(end), F.col("lo").alias(f"lo_{end}"), F.col("hi").alias(f"hi_{end}")), end)
+    # sets that are alike enough are of like size
+    pairs = stored(pairs.where((least * F.col("lo_a") <= F.col("hi_b")) & (least * F.col("lo_b") <= F.col("hi_a"))).select("a", "b", "early"), "near-sized")
     left = sets.select(F.col("id").alias("a"), F.col("text_key").alias("u"), F.col("set").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("text_key").alias("v"), F.col("set").alias("y"))
 
