@@ -123,23 +123,65 @@ def op1(spark, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-# Near-duplicates by similarity: SimHash of words proposes, shingle sets decide.
+# Near-duplicates by similarity: shared prefixes of shingle sets propose, whole sets decide.
+
+
+def shingle_hashes(text: str | None, k: int) -> np.ndarray:
+    """The distinct k-word shingles as sorted 64-bit hashes; words are hashed once each and combined by place."""
+    words = spaced_words(text or "")
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    m = min(k, len(h))
+    if not m:
+        return np.zeros(0, dtype=np.int64)
+    total = np.full(len(h) - m + 1, m, dtype=np.uint64)
+    for i in range(m):
+        total = mixed(total, 1) + h[i : len(h) - m + 1 + i]
+    return np.unique(mixed(total, 1).view(np.int64))
 
 
 def shingle_set(text: Column, k: int) -> Column:
-    """The distinct k-word shingles of whole texts as sorted 32-bit hashes."""
+    """The distinct k-word shingles of whole texts as sorted 64-bit hashes."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("array<long>")
     def sets(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts:
-            found = set(shingles(spaced_words(t.as_py() or ""), k))
-            out.append(np.unique(np.fromiter(map(xxhash.xxh32_intdigest, found), dtype=np.uint32, count=len(found)).view(np.int32)))
-        return pa.array(out, type=pa.list_(pa.int32()))
+        return pa.array([shingle_hashes(t.as_py(), k) for t in texts], type=pa.list_(pa.int64()))
 
     return sets(text)
 
 
+def prefix_length(size: int, least: float) -> int:
+    """So many first shingles, in any order that all texts share, hold one of every text that is similar enough.
+
+    Two sets with a similarity of `least` or more share least * size shingles or more of either, so the first shared
+    one has at least that many in its own set from its place on.
+    """
+    return size - int(np.ceil(least * size - 1e-9)) + 1
+
+
+def prefix(text: Column, k: int, least: float, common: DataFrame) -> Column:
+    """(size, keys) of whole texts: the size of the shingle set and its prefix, rare shingles first, then by hash.
+
+    common has (key, n) for shingles that are to come late, rising by n. Wordless texts share the key 0.
+    """
+    rows = sorted((r["key"], r["n"]) for r in common.collect())
+    shared = common.sparkSession.sparkContext.broadcast((np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)))
+
+    @F.arrow_udf("struct<size:int, keys:array<long>>")
+    def prefixes(texts: pa.Array) -> pa.Array:
+        known, seen = shared.value
+        sizes, keys = [], []
+        for t in texts:
+            own = shingle_hashes(t.as_py(), k)
+            sizes.append(len(own))
+            if len(own) and len(known):
+                at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                own = own[np.argsort(np.where(known[at] == own, seen[at], 0), kind="stable")]
+            keys.append(own[: prefix_length(len(own), least)] if len(own) else np.zeros(1, dtype=np.int64))
+        return pa.StructArray.from_arrays([pa.array(sizes, type=pa.int32()), pa.array(keys, type=pa.list_(pa.int64()))], names=["size", "keys"])
+
+    return prefixes(text)
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Jaccard similarity of two sorted arrays of distinct numbers; 1 for two empty ones."""
 
@@ -193,8 +235,62 @@ def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
     return both.groupBy(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).agg(F.max("early").alias("early"))
 
 
-#: Bits of a fingerprint, fingerprints of a text, and neighbours in a bucket that are compared in the first pass.
-BITS, TABLES, EARLY = 40, 7, 6
+#: Bits of a fingerprint, and members of a bucket that all others of it are compared with in the first pass.
+BITS, EARLY = 40, 6
+#: Texts from which common shingles are learned, how many of those must have one, and how many are told apart. They set
+#: the order of prefixes only: any order gives the same pairs.
+COMMON_TEXTS, COMMON_IN, COMMON = 4_000, 3, 100_000
+
+
+def members(docs: DataFrame, k: int, least: float) -> DataFrame:
+    """(key, id, size, reach): the prefix shingles that texts share, of each text that has some.
+
+    id is a hash of the text's MD5, size that of its shingle set, and reach the number of shingles from this one on.
+    """
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), text.alias("text"))
+    share = max(1, docs.count() // COMMON_TEXTS)
+    some = keyed.where(F.pmod("id", F.lit(share)) == 0).dropDuplicates(["id"]).select(F.explode(shingle_set(F.col("text"), k)).alias("key"))
+    common = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "key").limit(COMMON)
+    prefixes = stored(keyed.select("id", prefix(F.col("text"), k, least, common).alias("p")).select("id", "p.*"), "near-prefixes")
+    flat = prefixes.select("id", "size", F.posexplode("keys").alias("pos", "key"))
+    shared = flat.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
+    shared = stored(shared, "near-shared")
+    hit = sieve(shared, F.col("key"))
+    found = flat.where(hit(F.col("key"))).join(shared, "key", "left_semi").select("key", "id", "size", (F.col("size") - F.col("pos")).alias("reach"))
+    return found.distinct()
+
+
+def _may(size: Column, reach: Column, other_size: Column, other_reach: Column, least: float) -> Column:
+    """Whether two texts can be similar enough if this is the first shingle they share; so are sizes and places bounded."""
+    return F.least(reach, other_reach) * (1 + least) + 1e-6 >= least * (size + other_size)
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
+
+
+def early_pairs(held: DataFrame, least: float) -> DataFrame:
+    """(a, b): every member of a bucket with EARLY members of it, the first by as many hashes."""
+    firsts = [F.min_by(F.struct("id", "size", "reach"), F.xxhash64("id", F.lit(j))) for j in range(EARLY)]
+    if not firsts:
+        return _pairs(held.limit(0).withColumn("other", F.col("id")))
+    hubs = held.groupBy("key").agg(F.array_distinct(F.array(*firsts)).alias("hubs"))
+    met = held.join(hubs, "key").select("id", "size", "reach", F.explode("hubs").alias("h"))
+    return _pairs(met.where(F.col("id") != F.col("h.id")).where(_may(F.col("size"), F.col("reach"), F.col("h.size"), F.col("h.reach"), least)).withColumn("other", F.col("h.id")))
+
+
+def late_pairs(held: DataFrame, groups: DataFrame, least: float) -> DataFrame:
+    """(a, b): all pairs of a bucket whose ends are in different groups (id, root); a text without one is its own.
+
+    Pairs within the largest group of a bucket are never made: the others' members meet all members.
+    """
+    placed = stored(held.join(groups, "id", "left").select("key", "id", "size", "reach", F.coalesce("root", "id").alias("root")), "near-placed")
+    counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
+    few = placed.join(main.select("key", "main"), "key").where("root != main").alias("x")
+    both = few.join(placed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _may(*(F.col(f"{s}.{c}") for s in "xy" for c in ("size", "reach")), least))
+    return _pairs(both.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")))
 
 
 def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -214,20 +310,16 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
 
     text_key is the text's MD5, doc_id its smallest doc_id, rows its number of rows. Texts are near copies where their
     sets of k-word shingles have a Jaccard similarity of at least `least`; groups are what such links connect, and the
-    keeper is the text with the smallest doc_id (then key). SimHash over a text's distinct words, in TABLES tables of
-    BITS bits, proposes pairs within 2 bits by ball hashing; the sets decide. Early pairs are compared first; of the
-    others those whose ends are not in one group by then, which changes no group. Null counts as the empty text.
+    keeper is the text with the smallest doc_id (then key). Every such pair shares a shingle of both prefixes (prefix
+    filter), so no pair is missed; the sets decide. Early pairs are compared first; of the others those whose ends are
+    not in one group by then, which changes no group. Null counts as the empty text.
     """
     text = F.coalesce("text", F.lit(""))
-    texts = stored(
-        docs.select("doc_id", F.md5(text).alias("text_key"), fingerprint(F.col("text"), 1, BITS, TABLES, True).alias("fps")),
-        "near-texts",
-    )
     unique = stored(
-        texts.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows"), F.first("fps").alias("fps")), "near-unique"
-    ).withColumn("id", F.xxhash64("text_key"))
-    pairs = stored(candidates(unique, "id", "fps"), "near-pairs")
-    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ends")
+        docs.select("doc_id", F.md5(text).alias("text_key")).groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "near-unique"
+    )
+    held = stored(members(docs, k, least), "near-members")
+    ends = stored(held.select("id").distinct(), "near-ends")
     hit = sieve(ends, F.col("id"))
     keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), text.alias("text"))
     sets = stored(
@@ -235,28 +327,16 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
         .select("id", F.md5("text").alias("text_key"), shingle_set(F.col("text"), k).alias("set")),
         "near-sets",
     )
-    sizes = sets.groupBy("id").agg(F.min(F.size("set")).alias("lo"), F.max(F.size("set")).alias("hi"))
-    for end in ("a", "b"):
-        pairs = pairs.join(sizes.select(F.col("id").alias(end), F.col("lo").alias(f"lo_{end}"), F.col("hi").alias(f"hi_{end}")), end)
-    # sets that are alike enough are of like size
-    pairs = stored(pairs.where((least * F.col("lo_a") <= F.col("hi_b")) & (least * F.col("lo_b") <= F.col("hi_a"))).select("a", "b", "early"), "near-sized")
     left = sets.select(F.col("id").alias("a"), F.col("text_key").alias("u"), F.col("set").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("text_key").alias("v"), F.col("set").alias("y"))
 
     def similar(some: DataFrame) -> DataFrame:
         return some.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v")
 
-    checked = similar(pairs.where("early").select("a", "b"))
-    near = stored(components(checked, "u", "v", "near-step"), "near-roots")
-    of = near.select(F.xxhash64("node").alias("id"), "root")
-    open_pairs = (
-        pairs.where("not early")
-        .join(of.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
-        .join(of.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
-        .where("ra is null or rb is null or ra != rb")
-        .select("a", "b")
-    )
-    roots = stored(joined_roots(near, stored(similar(open_pairs), "near-late")), "near-all-roots")
+    near = stored(components(similar(early_pairs(held, least)), "u", "v", "near-step"), "near-roots")
+    of = near.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
+    late = stored(late_pairs(held, of, least), "near-pairs")
+    roots = stored(joined_roots(near, stored(similar(late), "near-late")), "near-all-roots")
     grouped = unique.join(roots.withColumnRenamed("node", "text_key"), "text_key", "left").where("root is not null or rows > 1")
     grouped = grouped.select("text_key", "doc_id", "rows", F.coalesce("root", "text_key").alias("root"))
     keepers = grouped.groupBy("root").agg(
