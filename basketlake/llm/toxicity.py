@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from basketlake.llm.common import long_hash, stored, table, token_words
 
 BUCKETS, SAMPLE_ROWS, TERMS, FACTORS, THRESHOLD = 1 << 20, 20_000, 4_096, 8, 0.3
+#: Standard errors and documents with both from which a term counts beside another.
+PAIR_Z, PAIR_ROWS = 5, 5
 
 
 def term_buckets(text: str | None) -> np.ndarray:
@@ -81,11 +83,33 @@ class Machine:
             self.w0 -= rate * g_0 / np.sqrt(past_0)
 
 
+def _paired(rows: DataFrame, counts: DataFrame, clear: list[int]) -> list[int]:
+    """Terms that are as common in either kind of document, but not beside one of the clear terms.
+
+    Among the documents with the clear term, their share in toxic and other ones differs by PAIR_Z standard errors or
+    more; that is more than for single terms, as there are many pairs. At most TERMS of them, the clearest first.
+    """
+    if not clear:
+        return []
+    known = F.lit(clear)
+    beside = rows.select("toxic", "terms", F.explode(F.array_intersect("terms", known)).alias("anchor")).select(
+        "toxic", "anchor", F.explode(F.array_except("terms", known)).alias("term")
+    )
+    pairs = beside.groupBy("anchor", "term").agg(F.sum((F.col("toxic") > 0).cast("long")).alias("pb"), F.count("*").alias("pn"))
+    anchors = counts.where(F.col("term").isin(clear)).where("b > 0 and n > b").select(F.col("term").alias("anchor"), "b", "n")
+    p = F.col("pn") / F.col("n")
+    z = F.abs(F.col("pb") / F.col("b") - (F.col("pn") - F.col("pb")) / (F.col("n") - F.col("b")))
+    z = z / F.sqrt(p * (1 - p) * (1 / F.col("b") + 1 / (F.col("n") - F.col("b"))) + 1e-12)
+    found = pairs.where(F.col("pn") >= PAIR_ROWS).join(F.broadcast(anchors), "anchor").groupBy("term").agg(F.max(z).alias("z"))
+    return [r["term"] for r in found.where(F.col("z") >= PAIR_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect()]
+
+
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Learns from (doc_id, toxic) on at most sample_rows labelled documents, those of the smallest hashes.
 
     Terms are kept where their share among toxic and other documents differs by 4 standard errors or more, at most
-    TERMS of them, the clearest first; counts are taken by Spark, and only kept terms reach the driver.
+    TERMS of them, the clearest first, and besides terms that matter beside one of these only (`_paired`), as many
+    again at most; counts are taken by Spark, and only kept terms reach the driver.
     """
     picked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = picked.orderBy(long_hash("doc_id"), "doc_id").limit(sample_rows)
@@ -103,7 +127,8 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     p = F.col("n") / (bad + good)
     z = F.abs(F.col("b") / bad - (F.col("n") - F.col("b")) / good) / F.sqrt(p * (1 - p) * (1 / bad + 1 / good) + 1e-12)
     clear = counts.withColumn("z", z).where("z >= 4 and n >= 3").orderBy(F.desc("z"), "term").limit(TERMS).select("term")
-    terms = np.array([r["term"] for r in clear.collect()], dtype=np.int64)
+    clear = [r["term"] for r in clear.collect()]
+    terms = np.array(clear + _paired(rows, counts, clear), dtype=np.int64)
     machine = Machine(terms)
     kept = F.array_intersect("terms", F.lit(terms.tolist()) if len(terms) else F.array().cast("array<int>"))
     learn = rows.select(F.col("toxic").cast("double").alias("toxic"), kept.alias("kept")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
