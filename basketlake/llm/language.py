@@ -130,15 +130,15 @@ class Model:
 
 
 def fitted(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learns from (text, lang) on at most sample_rows rows, as many of each language as the table has, by smallest hash."""
+    """Learns from (text, lang) on at most sample_rows different texts, as many of each language as the table has, by smallest hash."""
     named = rows.where("lang is not null and text is not null").withColumn("h", long_hash("text"))
     n_langs = named.agg(F.count_distinct("lang")).first()[0]
     if not n_langs:
         return Model([])
     each = max(1, sample_rows // n_langs)
-    # smallest hashes per language; the rank limit is applied before the shuffle, too
+    # smallest hashes per language, each once however many copies it has; the rank limit is applied before the shuffle, too
     w = Window.partitionBy("lang").orderBy("h")
-    cut = named.select("lang", "h").withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).groupBy("lang").agg(F.max("h").alias("most"))
+    cut = named.select("lang", "h").distinct().withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).groupBy("lang").agg(F.max("h").alias("most"))
     picked = named.join(F.broadcast(cut), "lang").where("h <= most").dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def features(batches):
