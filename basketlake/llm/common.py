@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlake.session import stored
 
-__all__ = ["TOKEN_TABLE", "components", "long_hash", "sieve", "spaced_words", "stored", "table", "token_words"]
+__all__ = ["TOKEN_TABLE", "components", "labelled_rows", "long_hash", "sieve", "spaced_words", "stored", "table", "token_words"]
 
 #: Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space; bytes of other characters stay.
 TOKEN_TABLE = bytes(
@@ -37,6 +37,16 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def labelled_rows(docs: DataFrame, picked: DataFrame, most: int) -> DataFrame:
+    """The columns of documents (doc_id, text) with those of picked (doc_id, ...), each doc_id and text once, at most so many.
+
+    Beyond `most` rows those of the smallest hashes stay, so a doc_id with very many texts brings no more than that.
+    """
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").withColumn("__h", F.xxhash64("text"))
+    keys = rows.select("doc_id", "__h").distinct().orderBy(F.xxhash64("doc_id", "__h"), "doc_id", "__h").limit(most)
+    return rows.join(F.broadcast(keys), ["doc_id", "__h"]).dropDuplicates(["doc_id", "__h"]).drop("__h")
+
+
 def long_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import long_hash, stored, table
+from basketlake.llm.common import labelled_rows, long_hash, stored, table
 
 BUCKETS, SAMPLE_ROWS, SMOOTHING, TEMPERATURE, REJECT_COST = 1 << 16, 20_000, 0.5, 0.1, 50.0
 TOKENS = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
@@ -71,7 +71,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     spark = docs.sparkSession
     picked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     picked = picked.orderBy(long_hash("doc_id"), "doc_id").limit(sample_rows)
-    rows = stored(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "quality"), "quality-sample")
+    rows = stored(labelled_rows(docs, picked, sample_rows).select("text", "quality"), "quality-sample")
     ratio = Ratio(gram_counts(rows.where("quality = 1")), gram_counts(docs))
     means = [(r["quality"], r["m"]) for r in rows.select("quality", weight(F.col("text"), ratio, spark)["mean"].alias("m")).collect()]
     ratio.cut = _best_cut(np.array([m for q, m in means if q == 1]), np.array([m for q, m in means if q != 1]))

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import long_hash, stored, table, token_words
+from basketlake.llm.common import labelled_rows, long_hash, stored, table, token_words
 
 BUCKETS, SAMPLE_ROWS, TERMS, FACTORS, THRESHOLD = 1 << 20, 20_000, 4_096, 8, 0.3
 #: Standard errors and documents with both from which a term counts beside another.
@@ -105,7 +105,7 @@ def _paired(rows: DataFrame, counts: DataFrame, clear: list[int]) -> list[int]:
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Learns from (doc_id, toxic) on at most sample_rows labelled documents, those of the smallest hashes.
+    """Learns from (doc_id, toxic) on at most sample_rows labelled documents, those of the smallest hashes, and as many rows.
 
     Terms are kept where their share among toxic and other documents differs by 4 standard errors or more, at most
     TERMS of them, the clearest first, and besides terms that matter beside one of these only (`_paired`), as many
@@ -113,7 +113,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     """
     picked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = picked.orderBy(long_hash("doc_id"), "doc_id").limit(sample_rows)
-    rows = stored(docs.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", _terms(F.col("text")).alias("terms")), "toxic-sample")
+    rows = stored(labelled_rows(docs, picked, sample_rows).select("doc_id", "toxic", _terms(F.col("text")).alias("terms")), "toxic-sample")
     sizes = rows.agg(F.count("*").alias("n"), F.sum((F.col("toxic") > 0).cast("long")).alias("toxic")).first()
     bad = sizes["toxic"] or 0
     good = sizes["n"] - bad
