@@ -83,25 +83,39 @@ class Machine:
             self.w0 -= rate * g_0 / np.sqrt(past_0)
 
 
-def _paired(rows: DataFrame, counts: DataFrame, clear: list[int]) -> list[int]:
+def _paired(rows: DataFrame, clear: list[int]) -> list[int]:
     """Terms that are as common in either kind of document, but not beside one of the clear terms.
 
     Among the documents with the clear term, their share in toxic and other ones differs by PAIR_Z standard errors or
-    more; that is more than for single terms, as there are many pairs. At most TERMS of them, the clearest first.
+    more; that is more than for single terms, as there are many pairs. At most TERMS of them, the clearest first. The
+    sample comes to the driver as one Arrow table of term numbers, and pairs are counted one clear term at a time.
     """
     if not clear:
         return []
-    known = F.lit(clear)
-    beside = rows.select("toxic", "terms", F.explode(F.array_intersect("terms", known)).alias("anchor")).select(
-        "toxic", "anchor", F.explode(F.array_except("terms", known)).alias("term")
-    )
-    pairs = beside.groupBy("anchor", "term").agg(F.sum((F.col("toxic") > 0).cast("long")).alias("pb"), F.count("*").alias("pn"))
-    anchors = counts.where(F.col("term").isin(clear)).where("b > 0 and n > b").select(F.col("term").alias("anchor"), "b", "n")
-    p = F.col("pn") / F.col("n")
-    z = F.abs(F.col("pb") / F.col("b") - (F.col("pn") - F.col("pb")) / (F.col("n") - F.col("b")))
-    z = z / F.sqrt(p * (1 - p) * (1 / F.col("b") + 1 / (F.col("n") - F.col("b"))) + 1e-12)
-    found = pairs.where(F.col("pn") >= PAIR_ROWS).join(F.broadcast(anchors), "anchor").groupBy("term").agg(F.max(z).alias("z"))
-    return [r["term"] for r in found.where(F.col("z") >= PAIR_Z).orderBy(F.desc("z"), "term").limit(TERMS).collect()]
+    beside = rows.where(F.arrays_overlap("terms", F.lit(clear))).select((F.col("toxic") > 0).alias("toxic"), "terms").toArrow()
+    toxic = beside["toxic"].to_numpy().astype(bool)
+    lists = beside["terms"].combine_chunks()
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    lengths = np.diff(lists.offsets.to_numpy())
+    names, at = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+    row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    order = np.argsort(at, kind="stable")
+    edges = np.searchsorted(at[order], np.arange(len(names) + 1))
+    open_term = (np.diff(edges) >= PAIR_ROWS) & ~np.isin(names, clear)
+    keep = open_term[at]
+    term, ends = at[keep], np.concatenate(([0], np.cumsum(np.bincount(row[keep], minlength=len(lengths)))))
+    best = np.zeros(len(names))
+    for anchor in np.searchsorted(names, np.intersect1d(names, clear)):
+        own = row[order[edges[anchor] : edges[anchor + 1]]]
+        bad, good = own[toxic[own]], own[~toxic[own]]
+        if not len(bad) or not len(good):
+            continue
+        pb, pg = (np.bincount(np.concatenate([term[ends[i] : ends[i + 1]] for i in some]), minlength=len(names)) for some in (bad, good))
+        p = (pb + pg) / len(own)
+        z = np.abs(pb / len(bad) - pg / len(good)) / np.sqrt(p * (1 - p) * (1 / len(bad) + 1 / len(good)) + 1e-12)
+        best = np.maximum(best, np.where(pb + pg >= PAIR_ROWS, z, 0))
+    found = np.flatnonzero(best >= PAIR_Z)
+    return names[found[np.lexsort((names[found], -best[found]))][:TERMS]].tolist()
 
 
 def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Machine:
@@ -109,7 +123,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
 
     Terms are kept where their share among toxic and other documents differs by 4 standard errors or more, at most
     TERMS of them, the clearest first, and besides terms that matter beside one of these only (`_paired`), as many
-    again at most; counts are taken by Spark, and only kept terms reach the driver.
+    again at most; single terms are counted by Spark.
     """
     picked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = picked.orderBy(long_hash("doc_id"), "doc_id").limit(sample_rows)
@@ -128,7 +142,7 @@ def fitted(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -
     z = F.abs(F.col("b") / bad - (F.col("n") - F.col("b")) / good) / F.sqrt(p * (1 - p) * (1 / bad + 1 / good) + 1e-12)
     clear = counts.withColumn("z", z).where("z >= 4 and n >= 3").orderBy(F.desc("z"), "term").limit(TERMS).select("term")
     clear = [r["term"] for r in clear.collect()]
-    terms = np.array(clear + _paired(rows, counts, clear), dtype=np.int64)
+    terms = np.array(clear + _paired(rows, clear), dtype=np.int64)
     machine = Machine(terms)
     kept = F.array_intersect("terms", F.lit(terms.tolist()) if len(terms) else F.array().cast("array<int>"))
     learn = rows.select(F.col("toxic").cast("double").alias("toxic"), kept.alias("kept")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
