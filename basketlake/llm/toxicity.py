@@ -55,25 +55,22 @@ class Machine:
         n = len(rows)
         row = np.repeat(np.arange(n), [len(r) for r in rows])
         at = np.concatenate(rows).astype(np.int64) if row.size else np.zeros(0, dtype=np.int64)
-        order = np.argsort(at, kind="stable")
-        by_term, edges = at[order], None
-        edges = np.searchsorted(by_term, np.arange(len(self.w) + 1))
-        ends = np.concatenate(([0], np.cumsum([len(r) for r in rows])))
-
-        def summed(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-            total = np.concatenate((np.zeros((1, values.shape[1])), np.cumsum(values, axis=0)))
-            return total[cuts[1:]] - total[cuts[:-1]]
-
         rate_of = max(1e-6, min(1 - 1e-6, float(labels.mean()))) if n else 0.5
         self.w0 = float(np.log(rate_of / (1 - rate_of)))
         past_w, past_v, past_0 = np.full_like(self.w, 1e-8), np.full_like(self.v, 1e-8), 1e-8
         for _ in range(rounds if row.size else 0):
-            factors = self.v[at]
-            total = summed(factors, ends)
-            logits = self.w0 + summed(self.w[at][:, None], ends)[:, 0] + 0.5 * ((total**2).sum(1) - summed((factors**2).sum(1)[:, None], ends)[:, 0])
+            # one factor at a time, so that no array has more than one number per word of a document
+            logits, total = self.w0 + np.bincount(row, self.w[at], n), np.zeros((n, FACTORS))
+            for f in range(FACTORS):
+                own = self.v[at, f]
+                total[:, f] = np.bincount(row, own, n)
+                logits += 0.5 * (total[:, f] ** 2 - np.bincount(row, own**2, n))
             miss = (1 / (1 + np.exp(-np.clip(logits, -40, 40))) - labels) / n
-            g_w = summed(miss[row][order][:, None], edges)[:, 0] + decay * self.w / n
-            g_v = summed(((total[row] - factors) * miss[row][:, None])[order], edges) + decay * self.v / n
+            by_word, size = miss[row], len(self.w)
+            g_w = np.bincount(at, by_word, size) + decay * self.w / n
+            g_v = decay * self.v / n
+            for f in range(FACTORS):
+                g_v[:, f] += np.bincount(at, (total[row, f] - self.v[at, f]) * by_word, size)
             g_0 = float(miss.sum())
             past_w += g_w**2
             past_v += g_v**2
