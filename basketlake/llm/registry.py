@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from basketlake.llm import chat, decontaminate, language, licenses, packing, quality, sharding, simhash, topk, toxicity
+from basketlake.llm import chat, decontaminate, language, licenses, packing, pieces, quality, repair, sharding, simhash, spelling, topk, toxicity
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_decontamination": decontaminate.op8,
     "op9_toxicity": toxicity.op9,
     "op10_license_scan": licenses.op10,
+    "op11_spelling_variants": spelling.op11,
+    "op12_piece_offsets": pieces.op12,
+    "op13_structure_repair": repair.op13,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {"op2_chat_format": chat.OP2_SQL, "op3_exact_topk": topk.OP3_SQL, "op8_decontamination": decontaminate.OP8_SQL}
