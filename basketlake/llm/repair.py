@@ -243,10 +243,11 @@ def _with_audits(turns: DataFrame, audits: DataFrame) -> DataFrame:
 
 
 def _repaired(batches):
-    """(conv_id, iterator of its rows after repair)."""
+    """(conv_id, iterator of its rows after repair), for conversations that have an audit."""
     for conv_id, rows in _grouped(batches):
-        audit = next(rows)[4]
-        yield conv_id, replayed(audit, ((role, text) for _, _, _, role, text in rows))
+        _, turn_row, _, _, audit = next(rows)
+        if not turn_row:
+            yield conv_id, replayed(audit, ((role, text) for _, _, _, role, text in rows))
 
 
 def repaired_turns(turns: DataFrame, audits: DataFrame) -> DataFrame:
