@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from functools import lru_cache
 from itertools import accumulate, chain
 
@@ -22,6 +23,8 @@ SPACE = "▁"
 REMEMBERED = 300_000
 #: Longer segments are merged with an agenda and not remembered.
 SHORT, NEVER = 64, float("inf")
+#: Kinds of characters by which texts are cut; more kinds make fewer different segments.
+KINDS = 6
 #: Fixed values of the model file: kinds of pieces, and the number of the kind of model that merges pairs.
 NORMAL, UNKNOWN, CONTROL, BYTE, BPE = 1, 2, 3, 6, 2
 
@@ -78,6 +81,34 @@ class CharacterMap:
         return end, self.texts[leaf : self.texts.index(b"\0", leaf)].decode() if leaf >= 0 else ""
 
 
+def _cut(pieces: dict[str, float]) -> re.Pattern:
+    """A pattern whose matches follow one another through any normal text and which no piece crosses.
+
+    Characters that stand next to each other in a piece are of one kind, and so are those linked by others; spaces only
+    go in front. The kinds with the most pieces are told apart, the others are taken together.
+    """
+    if any(b == SPACE != a for text in pieces for a, b in zip(text, text[1:], strict=False)):
+        return re.compile("(?s:.+)")
+    kind = {c: c for text in pieces if len(text) > 1 for c in text if c != SPACE}
+
+    def of(c: str) -> str:
+        while kind[c] != c:
+            kind[c] = c = kind[kind[c]]
+        return c
+
+    joined = [text.lstrip(SPACE) for text in pieces]
+    for text in joined:
+        for a, b in zip(text, text[1:], strict=False):
+            kind[of(a)] = of(b)
+    weights = Counter(of(text[0]) for text in joined if text and text[0] in kind)
+    groups: dict[str, str] = {}
+    top = {c: c for c, _ in weights.most_common(KINDS)}
+    for c in sorted(kind):
+        groups[top.get(of(c), "")] = groups.get(top.get(of(c), ""), "") + c
+    ordered = sorted(groups, key=lambda g: -weights[g])
+    return re.compile("|".join(f"{SPACE}*[{re.escape(groups[g])}]+" for g in ordered) + f"|{SPACE}+|(?s:.)")
+
+
 class Pieces:
     """A model file: the character map, the vocabulary with its merge order, and the spans of what it encodes."""
 
@@ -110,11 +141,7 @@ class Pieces:
             raise ValueError("only models that merge pairs, with escaped white space in front of words, are supported")
         self.map = CharacterMap(rules.get(2, b""))
         self.prefix, self.trim = rules.get(3, 1), rules.get(4, 1)
-        merging = {c for text in self.order if len(text) > 1 for c in text} - {SPACE}
-        inner = any(a != SPACE and b == SPACE for text in self.order for a, b in zip(text, text[1:], strict=False))
-        # No piece holds a space after another character, or a character that only stands alone: there texts can be cut.
-        every = re.escape("".join(sorted(merging)))
-        self.cut = re.compile("(?s:.+)" if inner else f"{SPACE}+[{every}]*|[{every}]+|[^{every}]")
+        self.cut = _cut(self.order)
         self.processor = SentencePieceProcessor(model_file=path)
         self.known = _Memory(self)
 
