@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -12,9 +13,7 @@ from pyspark.sql import Window as W
 from basketlake.fixed_values import SECRET_PATTERNS, SNIPPET_LENGTH
 
 DIFF_HEADER = r"^diff --git a/(.+?) b/(.+)$"
-# Lines of one file's diff scanned together, and how far a piece looks into the next one.
-PIECE_LINES = 20000
-PIECE_OVERLAP = 200
+BLANK = r"^\s*\z"
 
 
 def _newlines(text: Column) -> Column:
@@ -61,53 +60,78 @@ def scan_summary(hits: DataFrame) -> DataFrame:
     return per_place.groupBy("label").agg(F.sum("hits").alias("hits"), F.count(F.lit(1)).alias("places"))
 
 
+def continued(line: Column, patterns=SECRET_PATTERNS) -> Column:
+    """Whether a hit may run on from this line to the next one that is not blank.
+
+    A pattern crosses lines only where it says `\\s*` or `\\s+`. A hit that goes on has the parts up to such a place at
+    the end of the line, or the line is nothing but parts from the middle.
+    """
+    tests = []
+    for pattern, _ in patterns:
+        flag = "(?i)" if pattern.startswith("(?i)") else ""
+        parts = re.split(r"\\s[*+]", pattern.removeprefix("(?i)"))
+        for i in range(1, len(parts)):
+            tests.append(flag + r"\s*".join(f"(?:{p})" for p in parts[:i]) + r"\s*\z")
+            for j in range(i + 1, len(parts)):
+                tests.append(flag + r"^\s*" + r"\s*".join(f"(?:{p})" for p in parts[i:j]) + r"\s*\z")
+    return reduce(or_, [line.rlike(t) for t in tests], F.lit(False))
+
+
+def _carried(rows: DataFrame, **marks: Column) -> DataFrame:
+    """For each block of a file, the last values of the marks in earlier blocks that are not null."""
+    last = rows.groupBy("file", "block").agg(*[F.max_by(m, F.when(m.isNotNull(), F.col("ord"))).alias(name) for name, m in marks.items()])
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    return last.select("file", "block", *[F.last(name, ignorenulls=True).over(earlier).alias(name) for name in marks])
+
+
 def scan_history(lines: DataFrame, allowed: DataFrame | None = None, patterns=SECRET_PATTERNS) -> DataFrame:
     """The same over a change history, split by file: (file, segment, place, line, label, snippet).
 
-    Takes (file, block, ord, line) with dense numbers inside a file's diff. Header lines start a segment;
-    lines before the first one belong to no file. A segment is scanned in pieces of bounded length that
-    overlap, and a hit counts where it starts.
+    Takes (file, block, ord, line) with dense numbers inside a file's diff; a block is what one task reads. Header lines
+    start a segment; lines before the first one belong to no file. A line from which no hit can run on, behind another
+    such line, is scanned by itself. The others are joined with what they run on to, over blank lines and the ends of
+    blocks, and scanned together, so hits and their line numbers are those of the whole segment, wherever its blocks
+    are cut. Windows stay inside a block; one row a block carries the state over.
     """
     is_header = F.col("line").rlike(DIFF_HEADER)
-    in_block = W.partitionBy("file", "block").orderBy("ord").rowsBetween(W.unboundedPreceding, W.currentRow)
-    local = lines.withColumns({
-        "_start": F.last(F.when(is_header, F.col("ord")), ignorenulls=True).over(in_block),
-        "_name": F.last(F.when(is_header, F.regexp_extract("line", DIFF_HEADER, 2)), ignorenulls=True).over(in_block),
+    solid = ~F.col("line").rlike(BLANK)
+    marked = lines.withColumns({
+        "_start": F.when(is_header, F.struct(F.col("ord").alias("ord"), F.regexp_extract("line", DIFF_HEADER, 2).alias("name"))),
+        "_open": F.when(is_header, False).when(solid, continued(F.col("line"), patterns)),
     })
-    ends = local.groupBy("file", "block").agg(
-        F.max_by(F.struct("_start", "_name"), "ord").alias("_last")
-    )
-    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    carried = ends.select(
-        "file", "block",
-        F.last(F.when(F.col("_last._start").isNotNull(), F.col("_last")), ignorenulls=True).over(earlier).alias("_carry"),
-    )
+    in_block = W.partitionBy("file", "block").orderBy("ord")
+    upto, before = in_block.rowsBetween(W.unboundedPreceding, W.currentRow), in_block.rowsBetween(W.unboundedPreceding, -1)
+    state = _carried(marked, _start_before=F.col("_start"), _open_before=F.col("_open"))
     placed = (
-        local.join(carried, ["file", "block"])
-        .where(~is_header)
+        marked.withColumns({
+            "_start": F.last("_start", ignorenulls=True).over(upto), "_after_open": F.last("_open", ignorenulls=True).over(before)
+        })
+        .join(state, ["file", "block"])
+        .withColumns({
+            "_start": F.coalesce("_start", "_start_before"), "_after_open": F.coalesce("_after_open", "_open_before", F.lit(False)),
+        })
+        .where(~is_header & F.col("_start").isNotNull() & (solid | F.col("_after_open")))
         .select(
-            "file",
-            F.coalesce("_start", "_carry._start").alias("segment"),
-            F.coalesce("_name", "_carry._name").alias("place"),
-            "ord", "line",
+            "file", "block", "ord", "line", F.col("_start.ord").alias("segment"), F.col("_start.name").alias("place"),
+            F.coalesce("_open", F.lit(True)).alias("_open"), "_after_open",
         )
-        .where(F.col("segment").isNotNull())
     )
     if allowed is not None:
         placed = placed.join(allowed, "place", "left_anti")
-    line_no = F.col("ord") - F.col("segment") - 1
-    piece = F.floor(line_no / PIECE_LINES)
-    again = (line_no - piece * PIECE_LINES < PIECE_OVERLAP) & (piece > 0)
-    pieces = placed.select(
-        "file", "segment", "place", line_no.alias("line_no"), "line",
-        F.explode(F.array_compact(F.array(piece, F.when(again, piece - 1)))).alias("piece"),
-    )
-    keys = ("file", "segment", "place", "piece")
-    ordered = F.array_sort(F.collect_list(F.struct("line_no", "line")))
-    texts = pieces.groupBy(*keys).agg(
-        F.array_join(F.transform(ordered, lambda r: r["line"]), "\n").alias("text")
-    )
-    hits = scan(texts, patterns=patterns, keys=keys)
-    return hits.where(F.col("line") <= PIECE_LINES).select(
-        "file", "segment", "place", (F.col("line") + F.col("piece") * PIECE_LINES).alias("line"), "label", "snippet"
+    alone = placed.where("not _open and not _after_open").withColumn("text", F.col("line"))
+    keys = ("file", "segment", "place", "ord")
+    number = (F.col("ord") - F.col("segment")).alias("number")
+    single = scan(alone.select(*keys, "text"), patterns=patterns, keys=keys).withColumn("line", number)
+    linked = placed.where("_open or _after_open")
+    first = F.when(~F.col("_after_open"), F.col("ord"))
+    islands = (
+        linked.withColumn("_island", F.last(first, ignorenulls=True).over(upto))
+        .join(_carried(linked, _island_before=first), ["file", "block"])
+        .groupBy("file", "segment", "place", F.coalesce("_island", "_island_before").alias("ord"))
+        .agg(F.array_sort(F.collect_list(F.struct(number, "line"))).alias("rows"))
     )
+    texts = islands.withColumn("text", F.array_join(F.transform("rows", lambda r: r["line"]), "\n"))
+    hits = scan(texts.select(*keys, "text"), patterns=patterns, keys=keys)
+    together = hits.join(islands.select(*keys, "rows"), list(keys)).withColumn("line", F.element_at("rows", F.col("line").cast("int"))["number"])
+    columns = ("file", "segment", "place", "line", "label", "snippet")
+    return single.select(*columns).union(together.select(*columns))
