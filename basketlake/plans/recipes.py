@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -14,6 +10,7 @@ from basketlake.functions import flags
 from basketlake.functions.numbers import percent_change, ratio
 from basketlake.plans.lake import Lake
 from basketlake.plans.reports import in_scope, item_code, money_sums, ranked_list, sales
+from basketlake.session import stored
 
 
 def dept_growth_qoq(lake: Lake, period: str = "all_time") -> DataFrame:
@@ -141,63 +138,82 @@ def saturday_busiest_hour(lake: Lake, period: str = "all_time", limit: int = 3)
     return ranked_list(hours, [F.desc("baskets"), F.col("hour")], limit).drop("more_exist")
 
 
-def _pair_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Baskets with each pair of products, summed over a whole partition."""
-    total = None
-    for batch in batches:
-        for size, baskets in batch.groupby("size"):
-            if total is None:
-                total = np.zeros((size, size), dtype=np.int64)
-            for part in np.array_split(baskets["products"].to_numpy(), len(baskets) // 4096 + 1):
-                held = np.zeros((len(part), size), dtype=np.float32)
-                row = np.repeat(np.arange(len(part)), [len(p) for p in part])
-                held[row, np.concatenate(list(part))] = 1.0
-                total += (held.T @ held).astype(np.int64)
-    if total is not None:
-        left, right = np.nonzero(np.triu(total, 1))
-        yield pd.DataFrame({"left_no": left, "right_no": right, "together": total[left, right]})
-
-
-def basket_affinity(lake: Lake, period: str = "all_time", min_support: float = 0.01) -> DataFrame:
-    """Products bought together: baskets with both, confidence and lift.
-
-    `min_support` is the share of baskets a product must be in to be looked at; it bounds the products
-    (mean basket size / min_support), so a basket, however large, shrinks to that many entries and each
-    task holds one table of counts instead of writing out pairs. Pairs of those products are exact.
+#: Slots that pairs are counted in first: a bitmap of them is 2 MB, whatever the input.
+PAIR_SLOTS = 1 << 24
+
+
+def _slots_that_fill(pairs: DataFrame, least: int) -> DataFrame:
+    """(part, bits): bitmaps of the slots that at least so many pairs fall in; a row per 4 kB, 512 at most."""
+    counts = pairs.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    return counts.groupBy(F.bitmap_bucket_number("slot").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
+    )
+
+
+def _is_set(bits: Column, place: Column) -> Column:
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def frequent_pairs(held: DataFrame, basket: list[str], item: str, least: int) -> DataFrame:
+    """(left, right, together), left < right: every two items that at least `least` baskets hold together.
+
+    Takes distinct rows of basket and item. Pairs are counted twice: first in hashed slots, which are added up in tasks
+    and shuffled as numbers, then by themselves where their slot is full enough to hold a frequent pair. A pair's slot
+    counts at least as much as the pair, so none is missed, and the second count is exact. Pairs come from a join by
+    basket, which AQE splits where a basket is long.
     """
-    rows = sales(lake, period, ("transaction_id", "product_key"))
-    held = rows.select("transaction_id", "product_key").distinct()
-    baskets = rows.agg(F.count_distinct("transaction_id").alias("n")).scalar()
+    rows = held.select(*basket, item)
+    met = rows.withColumnRenamed(item, "left").join(rows.withColumnRenamed(item, "right"), basket).where("left < right")
+    pairs = met.select("left", "right", F.pmod(F.xxhash64("left", "right"), F.lit(PAIR_SLOTS)).alias("slot"))
+    full = F.broadcast(_slots_that_fill(pairs, least))
+    likely = pairs.withColumn("part", F.bitmap_bucket_number("slot")).join(full, "part")
+    counts = likely.where(_is_set(F.col("bits"), F.bitmap_bit_position("slot"))).groupBy("left", "right")
+    return counts.agg(F.count(F.lit(1)).alias("together")).where(F.col("together") >= least)
+
+
+BASKET = ("store_id", "terminal_code", "sale_date", "transaction_id")
+
+
+def frequent_basket_pairs(lake: Lake, period: str = "all_time", min_together: int = 20) -> DataFrame:
+    """Products bought together in at least `min_together` baskets, whatever their own support.
+
+    A basket is a transaction of a terminal on a day: register codes recur.
+    """
+    return basket_affinity(lake, period, 0.0, min_together, BASKET)
+
+
+def basket_affinity(
+    lake: Lake, period: str = "all_time", min_support: float = 0.01, min_together: int = 1, basket: tuple[str, ...] = ("transaction_id",)
+) -> DataFrame:
+    """Products bought together in at least `min_together` baskets: baskets with both, confidence and lift.
+
+    `min_support` is the share of baskets that both products have to be in, 0 for all products. Products in fewer than
+    `min_together` baskets can't be in such a pair and go before pairs are made; the others are numbered, so pairs are
+    two numbers until the frequent ones get their names.
+    """
+    rows = sales(lake, period, (*basket, "product_key"))
+    held = rows.select(*basket, "product_key").distinct()
+    baskets = rows.select(*basket).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     support = held.groupBy("product_key").agg(F.count(F.lit(1)).alias("support"))
-    frequent = support.where(F.col("support") >= baskets * F.lit(min_support))
-    # As many rows as min_support lets through; the product bounds stated above apply to this window.
-    numbered = frequent.withColumns({
-        "no": F.row_number().over(W.partitionBy().orderBy("product_key")) - 1,
-        "size": F.count(F.lit(1)).over(W.partitionBy()).cast("int"),
-    })
-    arrays = (
-        held.join(numbered, "product_key")
-        .groupBy("transaction_id")
-        .agg(F.collect_list("no").alias("products"), F.max("size").alias("size"))
-        .select("products", "size")
-    )
-    pairs = (
-        arrays.mapInPandas(_pair_counts, "left_no int, right_no int, together long")
-        .groupBy("left_no", "right_no")
-        .agg(F.sum("together").alias("together"))
-    )
+    support = support.where((F.col("support") >= min_together) & (F.col("support") >= baskets * F.lit(min_support)))
+    numbered = stored(support.withColumn("no", F.monotonically_increasing_id()), "affinity-products")
+    items = stored(held.join(numbered.select("product_key", "no"), "product_key").drop("product_key"), "affinity-baskets")
+    pairs = frequent_pairs(items, list(basket), "no", min_together)
 
     def side(name: str) -> DataFrame:
-        return numbered.select(
-            F.col("no").alias(f"{name}_no"), F.col("product_key").alias(f"{name}_product"),
-            F.col("support").alias(f"{name}_baskets"),
-        )
-
-    both = pairs.join(side("left"), "left_no").join(side("right"), "right_no")
-    lift = F.col("together") * baskets.cast("double") / (
-        F.col("left_baskets").cast("double") * F.col("right_baskets").cast("double")
-    )
+        return numbered.select(F.col("no").alias(name), F.col("product_key").alias(f"{name}_key"), F.col("support").alias(f"{name}_support"))
+
+    both = pairs.join(side("left"), "left").join(side("right"), "right")
+    swap = F.col("left_key") > F.col("right_key")
+
+    def ordered(column: str) -> list[Column]:
+        left, right = F.col(f"left_{column}"), F.col(f"right_{column}")
+        return [F.when(swap, right).otherwise(left), F.when(swap, left).otherwise(right)]
+
+    (left_key, right_key), (left_n, right_n) = ordered("key"), ordered("support")
+    lift = F.col("together") * baskets.cast("double") / (left_n.cast("double") * right_n.cast("double"))
     return both.select(
-        "left_product", "right_product", "left_baskets", "right_baskets", "together",
-        ratio(F.col("together"), F.col("left_baskets")).alias("confidence"), lift.alias("lift"),
+        left_key.alias("left_product"), right_key.alias("right_product"), left_n.alias("left_baskets"), right_n.alias("right_baskets"),
+        "together", ratio(F.col("together"), left_n).alias("confidence"), lift.alias("lift"),
     )

@@ -480,6 +480,17 @@ SELECT left_product, right_product, x.support AS left_baskets, y.support AS righ
        together * {d('(SELECT n FROM n)')} / ({d('x.support')} * {d('y.support')}) AS lift
   FROM p JOIN f x ON x.product_key = left_product JOIN f y ON y.product_key = right_product""")
 
+oracle("basket_pairs", f"""
+WITH h AS (SELECT DISTINCT store_id, terminal_code, sale_date, transaction_id, product_key FROM sold),
+n AS (SELECT count(*) AS n FROM (SELECT DISTINCT store_id, terminal_code, sale_date, transaction_id FROM sold)),
+f AS (SELECT product_key, count(*) AS support FROM h GROUP BY product_key),
+p AS (SELECT a.product_key AS left_product, b.product_key AS right_product, count(*) AS together FROM h a JOIN h b
+        ON a.store_id = b.store_id AND a.terminal_code = b.terminal_code AND a.sale_date = b.sale_date
+           AND a.transaction_id = b.transaction_id AND a.product_key < b.product_key GROUP BY ALL HAVING count(*) >= 20)
+SELECT left_product, right_product, x.support AS left_baskets, y.support AS right_baskets, together, {share('together', 'x.support', '')} AS confidence,
+       together * {d('(SELECT n FROM n)')} / ({d('x.support')} * {d('y.support')}) AS lift
+  FROM p JOIN f x ON x.product_key = left_product JOIN f y ON y.product_key = right_product""")
+
 # --- catalogue -----------------------------------------------------------------------------------
 
 _FIRST = f"CASE WHEN {_money(_RETAIL)} <> 0 THEN {_money(_RETAIL)} ELSE {_money('\"Price w/o dollar sign\"')} END"

@@ -42,3 +42,22 @@ def test_hit_across_line_20000_and_a_long_gap(spark):
     segments = [("long", "\n".join(lines))]
     assert found(spark, segments, 4_096) == expected(segments)
     assert [line for _, line, _, _ in expected(segments)] == [20_000, 20_505]
+
+
+def test_frequent_pairs_equal_brute_force(spark, monkeypatch):
+    """Pairs of long baskets and of rare products, with few slots, so that most pairs share one."""
+    from itertools import combinations
+
+    from basketlake.plans import recipes
+
+    monkeypatch.setattr(recipes, "PAIR_SLOTS", 97)
+    rng = random.Random(4)
+    baskets = {i: {int(rng.paretovariate(0.7)) for _ in range(rng.randrange(1, 9))} for i in range(300)} | {300: set(range(1, 120)), 301: set(range(1, 90))}
+    counts = {}
+    for held in baskets.values():
+        for pair in combinations(sorted(held), 2):
+            counts[pair] = counts.get(pair, 0) + 1
+    held = spark.createDataFrame([(b, "s", i) for b, items in baskets.items() for i in items], "basket long, store string, item long")
+    for least in (1, 2, 5):
+        got = {(r["left"], r["right"]): r["together"] for r in recipes.frequent_pairs(held, ["store", "basket"], "item", least).collect()}
+        assert got == {pair: n for pair, n in counts.items() if n >= least}

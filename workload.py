@@ -500,6 +500,7 @@ report("wic_share", recipes.wic_share)
 report("slow_mover_capital", recipes.slow_mover_capital, "last_90_days", 10.0, 50)
 report("saturday_busiest_hour", recipes.saturday_busiest_hour)
 report("basket_affinity", recipes.basket_affinity, ALL, 0.01)
+report("basket_pairs", recipes.frequent_basket_pairs, ALL, 20)
 
 
 # --- catalogue and movement ----------------------------------------------------------------------
