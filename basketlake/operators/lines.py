@@ -15,38 +15,42 @@ TRANSACTION_KEY = ("transaction_code", "terminal_code", "date")
 PLACE = ("file", "block", "ord")
 
 
-def runs(lines: DataFrame, key: Column, name: str = "run") -> DataFrame:
-    """Number the contiguous runs of equal keys in each file, in file order.
+def _local_runs(lines: DataFrame, key: Column) -> DataFrame:
+    """Lines with `_key` and `_local`, the number of key changes before them in their block.
 
-    Needs the columns file, block and ord. A block is one split of a file, so the window over lines
-    never holds more than a split; one row per block carries the count across splits.
+    A block is one split of a file, so the window over lines never holds more than a split.
     """
+    ordered = W.partitionBy("file", "block").orderBy("ord")
     keyed = lines.withColumn("_key", key)
-    in_block = W.partitionBy("file", "block").orderBy("ord")
-    changed = F.coalesce((F.lag("_key").over(in_block) != F.col("_key")).cast("int"), F.lit(0))
-    local = keyed.withColumn("_changed", changed).withColumn(
-        "_local", F.sum("_changed").over(in_block.rowsBetween(W.unboundedPreceding, W.currentRow))
-    )
-    blocks = keyed.groupBy("file", "block").agg(
-        F.min_by("_key", "ord").alias("_first"), F.max_by("_key", "ord").alias("_last")
-    )
-    sizes = local.groupBy("file", "block").agg(F.max("_local").alias("_changes"))
+    changed = F.coalesce((F.lag("_key").over(ordered) != F.col("_key")).cast("int"), F.lit(0))
+    return keyed.withColumn("_changed", changed).withColumn(
+        "_local", F.sum("_changed").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    ).drop("_changed")
+
+
+def _offsets(blocks: DataFrame) -> DataFrame:
+    """(file, block, ..., _offset): the number of a block's first run, from one row (_first, _last, _changes) a block."""
     by_file = W.partitionBy("file").orderBy("block")
     seam = F.coalesce((F.lag("_last").over(by_file) != F.col("_first")).cast("int"), F.lit(0))
-    offsets = (
-        blocks.join(sizes, ["file", "block"])
-        .withColumn("_step", seam + F.coalesce(F.lag("_changes").over(by_file), F.lit(0)))
-        .select(
-            "file",
-            "block",
-            F.sum("_step").over(by_file.rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_offset"),
-        )
-    )
-    return (
-        local.join(offsets, ["file", "block"])
-        .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_key", "_changed", "_local", "_offset")
-    )
+    steps = blocks.withColumn("_step", seam + F.coalesce(F.lag("_changes").over(by_file), F.lit(0)))
+    upto = by_file.rowsBetween(W.unboundedPreceding, W.currentRow)
+    return steps.withColumn("_offset", F.sum("_step").over(upto)).drop("_step", "_first", "_last")
+
+
+def _ends() -> list[Column]:
+    return [F.min_by("_key", "ord").alias("_first"), F.max_by("_key", "ord").alias("_last"), F.max("_local").alias("_changes")]
+
+
+def runs(lines: DataFrame, key: Column, name: str = "run") -> DataFrame:
+    """Number the contiguous runs of equal keys in each file, in file order.
+
+    Needs the columns file, block and ord. Runs are numbered inside blocks, one row per block carries the count across;
+    the input is read twice, once for those rows.
+    """
+    local = _local_runs(lines, key)
+    offsets = _offsets(local.groupBy("file", "block").agg(*_ends())).drop("_changes")
+    numbered = local.join(offsets, ["file", "block"]).withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
+    return numbered.drop("_key", "_local", "_offset")
 
 
 def transaction_runs(lines: DataFrame) -> DataFrame:
@@ -73,6 +77,38 @@ def stamp_tender(lines: DataFrame) -> DataFrame:
     return stamped.withColumn("tender_type", text.blank(F.col("tender_type")))
 
 
+def tendered_runs(lines: DataFrame) -> DataFrame:
+    """Lines with transaction_no and tender_type, the first named tender of their transaction, from two reads.
+
+    A transaction inside a block is settled there. Only the first and the last run of a block can go on in others: their
+    tenders are two entries of the row that a block contributes, and the runs they belong to are settled among those
+    rows. One join by block brings number and tenders back.
+    """
+    named = F.when(is_tender() & (F.col("key_function_id") != ""), F.struct(F.col("ord").alias("ord"), F.upper("key_function_id").alias("name")))
+    local = _local_runs(lines, F.struct(*TRANSACTION_KEY)).withColumn("_tender", named)
+    local = local.withColumn("_tender", F.min("_tender").over(W.partitionBy("file", "block", "_local"))["name"])
+    blocks = _offsets(
+        local.groupBy("file", "block").agg(*_ends(), F.min_by("_tender", "ord").alias("_head"), F.max_by("_tender", "ord").alias("_tail"))
+    )
+    last_run = F.col("_offset") + F.col("_changes")
+    ends = blocks.select(
+        "file", "block", "_offset", "_changes",
+        F.posexplode(F.array(F.struct(F.col("_offset").alias("run"), F.col("_head").alias("name")), F.struct(last_run.alias("run"), F.col("_tail").alias("name")))).alias("_side", "_end"),
+    )
+    one_run = W.partitionBy("file", "_end.run")
+    settled = ends.withColumn("_name", F.min(F.when(F.col("_end.name").isNotNull(), F.struct("block", "_end.name"))).over(one_run)["name"])
+    seams = settled.groupBy("file", "block").agg(
+        F.first("_offset").alias("_offset"), F.first("_changes").alias("_changes"),
+        *[F.max(F.when(F.col("_side") == side, F.col("_name"))).alias(name) for side, name in ((0, "_head"), (1, "_tail"))],
+    )
+    tender = F.when(F.col("_local") == 0, F.col("_head")).when(F.col("_local") == F.col("_changes"), F.col("_tail")).otherwise(F.col("_tender"))
+    return (
+        local.join(seams, ["file", "block"])
+        .withColumns({"transaction_no": (F.col("_offset") + F.col("_local")).cast("long"), "tender_type": text.blank(tender)})
+        .drop("_key", "_local", "_offset", "_changes", "_head", "_tail", "_tender")
+    )
+
+
 def finalize_totals(lines: DataFrame) -> DataFrame:
     """The totals record of each transaction."""
     money = {
@@ -96,7 +132,7 @@ def rejected(lines: DataFrame) -> DataFrame:
 def typed(lines: DataFrame) -> DataFrame:
     """Item lines with types; totals records, tender lines and lines without a date are gone.
 
-    Takes raw text columns, and tender_type where stamp_tender has run.
+    Takes raw text columns, and tender_type where tendered_runs has put it.
     """
     if "tender_type" not in lines.columns:
         lines = lines.withColumn("tender_type", F.lit(""))
@@ -280,7 +316,7 @@ def enrich(items: DataFrame, master: DataFrame, stores: DataFrame | None = None)
 
 def detail_from_log(lines: DataFrame, master: DataFrame, stores: DataFrame | None = None) -> DataFrame:
     """Raw log lines to the detail table."""
-    return enrich(typed(stamp_tender(transaction_runs(lines))), master, stores)
+    return enrich(typed(tendered_runs(lines)), master, stores)
 
 
 def render(record: DataFrame, settings=DEFAULT_SETTINGS) -> Column:

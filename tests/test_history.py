@@ -61,3 +61,40 @@ def test_frequent_pairs_equal_brute_force(spark, monkeypatch):
     for least in (1, 2, 5):
         got = {(r["left"], r["right"]): r["together"] for r in recipes.frequent_pairs(held, ["store", "basket"], "item", least).collect()}
         assert got == {pair: n for pair, n in counts.items() if n >= least}
+
+
+@pytest.mark.parametrize("block", [1, 3, 11, 1_000])
+def test_tenders_and_runs_in_two_reads(spark, block):
+    """First named tender and number of every transaction, wherever blocks are cut; the log is read twice."""
+    from itertools import groupby
+
+    from basketlake.operators import lines
+
+    rng = random.Random(block)
+    rows = []
+    for file in ("a", "b"):
+        keys = [str(rng.randrange(3)) for _ in range(40)]
+        log = [(k, *rng.choice([("TENDER 1", "cash"), ("tender", ""), ("ITEM", "4011"), ("TENDER 2", "Debit"), ("", "")])) for k in keys for _ in range(rng.randrange(1, 8))]
+        rows += [(file, i // block, i, k, "1", "01/02/2001", f, v) for i, (k, f, v) in enumerate(log)]
+    schema = "file string, block long, ord long, transaction_code string, terminal_code string, date string, key_function string, key_function_id string"
+    frame = spark.createDataFrame(rows, schema).repartition(3)
+    want = {}
+    for file in ("a", "b"):
+        own = [r for r in rows if r[0] == file]
+        for number, (_, group) in enumerate(groupby(own, key=lambda r: r[3])):
+            group = list(group)
+            named = [r[7].upper() for r in group if r[6].upper().startswith("TENDER") and r[7]]
+            want |= {(file, r[2]): (number, named[0] if named else "") for r in group}
+    got = lines.tendered_runs(frame)
+    assert {(r["file"], r["ord"]): (r["transaction_no"], r["tender_type"]) for r in got.collect()} == want
+    old = lines.stamp_tender(lines.transaction_runs(frame)).select(*got.columns)
+    assert sorted(map(tuple, old.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_the_log_is_read_twice(spark, tmp_path):
+    from basketlake.operators import lines
+
+    schema = "file string, block long, ord long, transaction_code string, terminal_code string, date string, key_function string, key_function_id string"
+    spark.createDataFrame([("a", 0, 0, "1", "1", "d", "ITEM", "1")], schema).write.parquet(str(tmp_path / "log"))
+    plan = lines.tendered_runs(spark.read.parquet(str(tmp_path / "log")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") in (1, 2)
