@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from basketlake.functions import dates
 from basketlake.operators.lines import enrich, classify, render
+from basketlake.operators.rollups import dept_rollup, item_rollup
 from basketlake.plans.lake import Lake
 from basketlake.session import work_dir
 from basketlake.sources import mapping, sinks
@@ -66,20 +67,34 @@ def _version(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(f.getFileSystem(conf).getFileStatus(f).getModificationTime() for f in files)
 
 
-def stored_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Detail as a stored table below year/month: written once per session and version of the sample, read by every report."""
-    key = (spark.sparkContext.applicationId, sf_dir, _version(spark, sf_dir))
+def _kept(spark: SparkSession, sf_dir: str, name: str, build, date_column: str, sort_by: tuple[str, ...] = ()) -> DataFrame:
+    """A stored table below year/month: written once per session and version of the sample, read by every report."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, _version(spark, sf_dir))
     if key not in _STORED:
-        path = work_dir(spark, "detail")
-        sinks.write_table(detail(spark, sf_dir), path, "transaction_ts")
+        path = work_dir(spark, name)
+        sinks.write_table(build(), path, date_column, sort_by=sort_by)
         _STORED[key] = path
     return sinks.read_table(spark, _STORED[key])
 
 
+def stored_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept(spark, sf_dir, "detail", lambda: detail(spark, sf_dir), "transaction_ts")
+
+
+def stored_rollups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The two rollups of the stored detail, stored beside it."""
+    lines = stored_detail(spark, sf_dir)
+    return {
+        "rollup_item": _kept(spark, sf_dir, "rollup_item", lambda: item_rollup(lines), "sale_date", ("store_id", "item_id")),
+        "rollup_dept": _kept(spark, sf_dir, "rollup_dept", lambda: dept_rollup(lines), "sale_date", ("store_id",)),
+    }
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lake:
     return Lake(
         detail=stored_detail(spark, sf_dir),
         catalogue=item_master(spark, sf_dir),
+        **stored_rollups(spark, sf_dir),
         as_of=AS_OF,
         history_start=HISTORY_START,
     )

@@ -393,7 +393,12 @@ _PROFILE = " UNION ALL ".join(
     for c in ("transaction_type", "tender_type", "retail_type", "department_name", "category_name"))
 oracle("profile_values", f"""
 WITH p AS ({_PROFILE}) SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY lines DESC, value) AS INT) AS position FROM p QUALIFY position <= 40""")
-oracle("profile_dates", "SELECT 'detail' AS table_name, min(log_date) AS first_day, max(log_date) AS last_day, count(*) AS row_count FROM items")
+_DATED = "SELECT '{}' AS table_name, min(sale_date) AS first_day, max(sale_date) AS last_day, count(*) AS row_count FROM ({})"
+oracle("profile_dates", " UNION ALL ".join([
+    "SELECT 'detail' AS table_name, min(log_date) AS first_day, max(log_date) AS last_day, count(*) AS row_count FROM items",
+    _DATED.format("rollup_item", "SELECT DISTINCT sale_date, store_id, item_id, product_key, department_code, transaction_type FROM detail"),
+    _DATED.format("rollup_dept", "SELECT DISTINCT sale_date, store_id, department_code, category_name, tender_type, transaction_type FROM detail"),
+]))
 _IFSALE = "FILTER (transaction_type = 'SALE')"
 oracle("load_summary", f"""
 SELECT count(*) AS line_items, count(DISTINCT transaction_id) AS transactions, count(DISTINCT item_id) AS distinct_items, min(sale_date) AS first_day,
