@@ -48,4 +48,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the scratch area: computed once, with a short plan for what follows."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables; only for those of which everything that reads them is written."""
+    for table in tables:
+        spark = table.sparkSession
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
