@@ -7,9 +7,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.session import stored
+from basketlake.session import discard, stored
 
-__all__ = ["TOKEN_TABLE", "components", "labelled_rows", "long_hash", "sieve", "spaced_words", "stored", "table", "token_words"]
+__all__ = ["TOKEN_TABLE", "components", "discard", "guarded", "labelled_rows", "long_hash", "sieve", "spaced_words", "stored", "table", "token_words"]
 
 #: Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space; bytes of other characters stay.
 TOKEN_TABLE = bytes(
@@ -47,6 +47,15 @@ def labelled_rows(docs: DataFrame, picked: DataFrame, most: int) -> DataFrame:
     return rows.join(F.broadcast(keys), ["doc_id", "__h"]).dropDuplicates(["doc_id", "__h"]).drop("__h")
 
 
+def guarded(docs: DataFrame, step) -> DataFrame:
+    """What step makes of docs, whatever the names of their columns beside doc_id and text.
+
+    step returns the columns it is given, in their order; it sees the others under names of their places.
+    """
+    own = docs.columns
+    return step(docs.toDF(*[c if c in ("doc_id", "text") else f"column {i}" for i, c in enumerate(own)])).toDF(*own)
+
+
 def long_hash(*cols: Column | str) -> Column:
     return F.xxhash64(*cols)
 
@@ -81,20 +90,20 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))
 
 
-def sieve(keys: DataFrame, key: Column):
+def sieve(keys: DataFrame, key: Column, most: int = SIEVE_BITS):
     """A Column function that is true for every row whose hash is among those of the keys, and for few other rows.
 
-    The keys become a bitmap of SIEVE_BITS bits, 1 MB at most whatever the input; beyond some millions of keys it lets
-    more rows through, never fewer. Joins behind it stay exact.
+    The keys become a bitmap of `most` bits, 1 MB if not said otherwise, whatever the input; beyond some millions of keys
+    it lets more rows through, never fewer. Joins behind it stay exact.
     """
-    slot = F.pmod(key, F.lit(SIEVE_BITS))
+    slot = F.pmod(key, F.lit(most))
     parts = (
         keys.select(slot.alias("slot"))
         .groupBy(F.bitmap_bucket_number("slot").alias("part"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
         .collect()
     )
-    bits = np.zeros(SIEVE_BITS + (1 << 15), dtype=bool)
+    bits = np.zeros(most + (1 << 15), dtype=bool)
     for row in parts:
         part = np.unpackbits(np.frombuffer(bytes(row["bits"]), dtype=np.uint8), bitorder="little").view(bool)
         start = (row["part"] - 1) * len(part)
@@ -111,4 +120,4 @@ def sieve(keys: DataFrame, key: Column):
         at = slots.to_numpy(zero_copy_only=False).astype(np.int64)
         return pa.array((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
 
-    return lambda column: hit(F.pmod(column, F.lit(SIEVE_BITS)))
+    return lambda column: hit(F.pmod(column, F.lit(most)))

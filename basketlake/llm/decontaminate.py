@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlake.llm.automaton import SuffixAutomaton, covered, known_runs
-from basketlake.llm.common import TOKEN_TABLE, stored, table, token_words
+from basketlake.llm.common import guarded, TOKEN_TABLE, stored, table, token_words
 
 WINDOW, BLOCK_WORDS, LEAST_SHARE = 13, 50_000, 20
 HITS = "struct<n_words:long, starts:array<int>, ends:array<int>, items:array<string>>"
@@ -161,9 +161,13 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents that are not contaminated, as they are; order and columns stay."""
-    found = with_hits(docs, benchmark, "__hits").withColumn("__hit", judged(F.col("__hits"))["n_hit"])
     dirty = (F.col("__hit") > 0) & (LEAST_SHARE * F.col("__hit") >= F.col("__hits.n_words"))
-    return found.where(~dirty).select(*docs.columns)
+
+    def clean(rows: DataFrame) -> DataFrame:
+        found = with_hits(rows, benchmark, "__hits").withColumn("__hit", judged(F.col("__hits"))["n_hit"])
+        return found.where(~dirty).select(*rows.columns)
+
+    return guarded(docs, clean)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import labelled_rows, long_hash, stored, table
+from basketlake.llm.common import guarded, labelled_rows, long_hash, stored, table
 
 BUCKETS, SAMPLE_ROWS, SMOOTHING, TEMPERATURE, REJECT_COST = 1 << 16, 20_000, 0.5, 0.1, 50.0
 TOKENS = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
@@ -145,7 +145,7 @@ def resampled(docs: DataFrame, labels: DataFrame, temperature: float = TEMPERATU
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of documents that the sample keeps, all columns as they were."""
-    return resampled(docs, labels).where("__kept").select(*docs.columns)
+    return guarded(docs, lambda d: resampled(d, labels).where("__kept").select(*d.columns))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import components, sieve, spaced_words, stored, table
+from basketlake.llm.common import components, discard, guarded, sieve, spaced_words, stored, table
 
 CHUNK = 50_000
 MASK = (1 << 64) - 1
@@ -240,25 +240,36 @@ BITS, EARLY = 40, 6
 #: Texts from which common shingles are learned, how many of those must have one, and how many are told apart. They set
 #: the order of prefixes only: any order gives the same pairs.
 COMMON_TEXTS, COMMON_IN, COMMON = 4_000, 3, 100_000
+#: Bits of the bitmap of prefix shingles that may be shared: 16 MB.
+SHARED_BITS = 1 << 27
 
 
 def members(docs: DataFrame, k: int, least: float) -> DataFrame:
     """(key, id, size, reach): the prefix shingles that texts share, of each text that has some.
 
     id is a hash of the text's MD5, size that of its shingle set, and reach the number of shingles from this one on.
+    Prefixes are made twice rather than stored: first only 32 bits of each shingle are counted, then those that came
+    twice by these bits are written and compared as they are.
     """
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), text.alias("text"))
     share = max(1, docs.count() // COMMON_TEXTS)
     some = keyed.where(F.pmod("id", F.lit(share)) == 0).dropDuplicates(["id"]).select(F.explode(shingle_set(F.col("text"), k)).alias("key"))
     common = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "key").limit(COMMON)
-    prefixes = stored(keyed.select("id", prefix(F.col("text"), k, least, common).alias("p")).select("id", "p.*"), "near-prefixes")
-    flat = prefixes.select("id", "size", F.posexplode("keys").alias("pos", "key"))
-    shared = flat.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
-    shared = stored(shared, "near-shared")
-    hit = sieve(shared, F.col("key"))
-    found = flat.where(hit(F.col("key"))).join(shared, "key", "left_semi").select("key", "id", "size", (F.col("size") - F.col("pos")).alias("reach"))
-    return found.distinct()
+    shown = keyed.select("id", prefix(F.col("text"), k, least, common).alias("p")).select("id", "p.*")
+    slots = shown.select(F.explode("keys").alias("key")).select(F.shiftright("key", 32).cast("int").alias("slot"))
+    # far more slots than the bitmap has bits: what it takes is only the slots that come twice
+    twice = stored(slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot"), "near-twice")
+    hit = sieve(twice, F.col("slot").cast("long"), SHARED_BITS)
+    flat = shown.select("id", "size", F.posexplode("keys").alias("pos", "key"))
+    likely = stored(
+        flat.where(hit(F.shiftright("key", 32))).select("key", "id", "size", (F.col("size") - F.col("pos")).alias("reach")).distinct(), "near-likely"
+    )
+    discard(twice)
+    shared = likely.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
+    held = stored(likely.join(shared, "key", "left_semi"), "near-members")
+    discard(likely)
+    return held
 
 
 def _may(size: Column, reach: Column, other_size: Column, other_reach: Column, least: float) -> Column:
@@ -305,6 +316,24 @@ def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
     return moved.select("node", F.coalesce("top", "root").alias("root")).union(new)
 
 
+def similar_pairs(docs: DataFrame, pairs: DataFrame, k: int, least: float) -> DataFrame:
+    """(u, v): MD5s of the pairs (a, b) of text ids whose shingle sets are similar enough.
+
+    Sets are made of the texts that stand in a pair, once each; the sieve lets them through where the table is read.
+    """
+    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ends")
+    hit = sieve(ends, F.col("id"))
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), F.md5(text).alias("text_key"), text.alias("text")).where(hit(F.col("id")))
+    copies = keyed.join(ends, "id", "left_semi").groupBy("id", "text_key").agg(F.min("text").alias("text"))
+    sets = stored(copies.select("id", "text_key", shingle_set(F.col("text"), k).alias("set")), "near-sets")
+    left = sets.select(F.col("id").alias("a"), F.col("text_key").alias("u"), F.col("set").alias("x"))
+    right = sets.select(F.col("id").alias("b"), F.col("text_key").alias("v"), F.col("set").alias("y"))
+    met = stored(pairs.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v"), "near-similar")
+    discard(ends, sets)
+    return met
+
+
 def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     """(text_key, doc_id, rows, keeper_key, keeper_id) of every text that has copies or near copies.
 
@@ -318,25 +347,16 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     unique = stored(
         docs.select("doc_id", F.md5(text).alias("text_key")).groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "near-unique"
     )
-    held = stored(members(docs, k, least), "near-members")
-    ends = stored(held.select("id").distinct(), "near-ends")
-    hit = sieve(ends, F.col("id"))
-    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), text.alias("text"))
-    sets = stored(
-        keyed.where(hit(F.col("id"))).join(ends, "id", "left_semi").dropDuplicates(["id", "text"])
-        .select("id", F.md5("text").alias("text_key"), shingle_set(F.col("text"), k).alias("set")),
-        "near-sets",
-    )
-    left = sets.select(F.col("id").alias("a"), F.col("text_key").alias("u"), F.col("set").alias("x"))
-    right = sets.select(F.col("id").alias("b"), F.col("text_key").alias("v"), F.col("set").alias("y"))
-
-    def similar(some: DataFrame) -> DataFrame:
-        return some.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v")
-
-    near = stored(components(similar(early_pairs(held, least)), "u", "v", "near-step"), "near-roots")
+    held = members(docs, k, least)
+    early = stored(early_pairs(held, least), "near-early")
+    near = stored(components(similar_pairs(docs, early, k, least), "u", "v", "near-step"), "near-roots")
+    discard(early)
     of = near.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
     late = stored(late_pairs(held, of, least), "near-pairs")
-    roots = stored(joined_roots(near, stored(similar(late), "near-late")), "near-all-roots")
+    discard(held)
+    found = stored(similar_pairs(docs, late, k, least), "near-late")
+    discard(late)
+    roots = stored(joined_roots(near, found), "near-all-roots")
     grouped = unique.join(roots.withColumnRenamed("node", "text_key"), "text_key", "left").where("root is not null or rows > 1")
     grouped = grouped.select("text_key", "doc_id", "rows", F.coalesce("root", "text_key").alias("root"))
     keepers = grouped.groupBy("root").agg(
@@ -353,6 +373,10 @@ def deduplicated(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     Of repeated rows of the keeper one stays, too. All columns are kept. Null and wordless texts are copies of each
     other. Rows that belong to no group, nearly all, pass without a shuffle; only rows that the sieve stops are joined.
     """
+    return guarded(docs, lambda d: _deduplicated(d, k, least))
+
+
+def _deduplicated(docs: DataFrame, k: int, least: float) -> DataFrame:
     groups = stored(near_groups(docs, k, least), "near-groups")
     keepers = groups.where("text_key = keeper_key").select(F.col("text_key").alias("__key"), F.col("keeper_id").alias("__id"))
     hit = sieve(groups, F.xxhash64("text_key"))

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import labelled_rows, long_hash, stored, table, token_words
+from basketlake.llm.common import guarded, labelled_rows, long_hash, stored, table, token_words
 
 BUCKETS, SAMPLE_ROWS, TERMS, FACTORS, THRESHOLD = 1 << 20, 20_000, 4_096, 8, 0.3
 #: Standard errors and documents with both from which a term counts beside another.
@@ -166,7 +166,7 @@ def clean_documents(docs: DataFrame, labels: DataFrame, spark, threshold: float
     row counts as of the one kind there is, and with none all stay.
     """
     machine = fitted(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"))
-    return docs.withColumn("__score", score(F.col("text"), machine, spark)).where(F.col("__score") < threshold).select(*docs.columns)
+    return guarded(docs, lambda d: d.withColumn("__score", score(F.col("text"), machine, spark)).where(F.col("__score") < threshold).select(*d.columns))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
