@@ -197,6 +197,46 @@ def similarity(a: Column, b: Column) -> Column:
     return jaccard(a, b)
 
 
+def histogram(sets: Column) -> Column:
+    """How many numbers of each array fall in each class, as 8-bit counts; a full count stands for any number.
+
+    There are half as many classes as numbers, rounded up to a power of two, so counts stay small however long a text is,
+    and a histogram takes a sixteenth of its set. Classes are the low bits of a number.
+    """
+
+    @F.arrow_udf("binary")
+    def bars(arrays: pa.Array) -> pa.Array:
+        out = []
+        for x in arrays:
+            numbers = x.values.to_numpy()
+            classes = 1 << max(6, (len(numbers) // 2).bit_length())
+            counts = np.bincount(numbers & (classes - 1), minlength=classes)
+            out.append(np.minimum(counts, FULL).astype(np.uint8).tobytes())
+        return pa.array(out, type=pa.binary())
+
+    return bars(sets)
+
+
+def _shared_at_most(x: bytes, y: bytes) -> float:
+    """The sum of the lower counts; the longer histogram is folded to the classes of the shorter one."""
+    x, y = (np.frombuffer(side, dtype=np.uint8) for side in (x, y))
+    if max(x.max(), y.max()) == FULL:
+        return float("inf")
+    classes = min(len(x), len(y))
+    x, y = (side.reshape(-1, classes).sum(0, dtype=np.int64) for side in (x, y))
+    return float(np.minimum(x, y).sum())
+
+
+def may_share(a: Column, b: Column) -> Column:
+    """The most numbers that two sets of such histograms can have in common."""
+
+    @F.arrow_udf("double")
+    def most(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array([_shared_at_most(x.as_py(), y.as_py()) for x, y in zip(left, right, strict=True)], type=pa.float64())
+
+    return most(a, b)
+
+
 def _flipped(column: str, flip: str) -> Column:
     """The column with the bit at the place `flip` turned; unchanged where that is BITS."""
     return F.expr(f"{column} ^ if({flip} = {BITS}, 0L, shiftleft(1L, cast({flip} as int)))")
@@ -236,7 +276,11 @@ def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
 
 
 #: Bits of a fingerprint, and members of a bucket that all others of it are compared with in the first pass.
-BITS, EARLY = 40, 6
+BITS, EARLY = 40, 2
+#: The count of a histogram that stands for itself and any larger one.
+FULL = 255
+#: So many ids are broadcast, 8 bytes each.
+FEW = 1_000_000
 #: Texts from which common shingles are learned, how many of those must have one, and how many are told apart. They set
 #: the order of prefixes only: any order gives the same pairs.
 COMMON_TEXTS, COMMON_IN, COMMON = 4_000, 3, 100_000
@@ -320,16 +364,31 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, k: int, least: float) -> Da
     """(u, v): MD5s of the pairs (a, b) of text ids whose shingle sets are similar enough.
 
     Sets are made of the texts that stand in a pair, once each; the sieve lets them through where the table is read.
+    Pairs first meet with histograms of their sets, which bound what two sets can share from above; whole sets travel
+    only with the pairs that stay.
     """
-    ends = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "near-ends")
-    hit = sieve(ends, F.col("id"))
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), F.md5(text).alias("text_key"), text.alias("text")).where(hit(F.col("id")))
-    copies = keyed.join(ends, "id", "left_semi").groupBy("id", "text_key").agg(F.min("text").alias("text"))
+    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), F.md5(text).alias("text_key"), text.alias("text"))
+
+    def of_ends(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        ends = stored(rows.select(F.explode(F.array("a", "b")).alias("id")).distinct(), name)
+        hit = sieve(ends, F.col("id"))
+        return ends, keyed.where(hit(F.col("id"))).join(F.broadcast(ends) if ends.count() < FEW else ends, "id", "left_semi")
+
+    ends, rows = of_ends(pairs, "near-ends")
+    shown = rows.select("id", "text_key", shingle_set(F.col("text"), k).alias("set"))
+    bars = stored(shown.select("id", "text_key", F.size("set").alias("n"), histogram(F.col("set")).alias("bars")).dropDuplicates(["id", "text_key"]), "near-bars")
+    one, other = (bars.select(F.col("id").alias(end), F.struct("n", "bars").alias(f"h{end}")) for end in "ab")
+    may = may_share(F.col("ha.bars"), F.col("hb.bars")) * (1 + least) + 1e-6 >= least * (F.col("ha.n") + F.col("hb.n"))
+    likely = stored(pairs.join(one, "a").join(other, "b").where(may).select("a", "b"), "near-likely-pairs")
+    discard(ends, bars)
+    ends, rows = of_ends(likely, "near-likely-ends")
+    copies = rows.groupBy("id", "text_key").agg(F.min("text").alias("text"))
     sets = stored(copies.select("id", "text_key", shingle_set(F.col("text"), k).alias("set")), "near-sets")
     left = sets.select(F.col("id").alias("a"), F.col("text_key").alias("u"), F.col("set").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("text_key").alias("v"), F.col("set").alias("y"))
-    met = stored(pairs.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v"), "near-similar")
+    met = stored(likely.join(left, "a").join(right, "b").where(similarity(F.col("x"), F.col("y")) >= least).select("u", "v"), "near-similar")
+    discard(likely)
     discard(ends, sets)
     return met
 

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 
-from basketlake.llm import pieces, repair, spelling
+from basketlake.llm import pieces, repair, simhash, spelling
 
 SF = "/root/testdata/sf0.001"
 
@@ -283,3 +283,13 @@ def test_repair_odd_tables(spark):
     gone = spark.createDataFrame([(9, 9, "user", "x")], "conv_id long, turn long, role string, text string")
     empty = repair.repaired(gone.limit(0), gone).collect()
     assert [tuple(r) for r in empty] == [(9, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+def test_histograms_bound_what_sets_share(spark):
+    rng = random.Random(2)
+    rows = [(sorted(rng.sample(range(-300, 300), rng.randrange(0, 200))), sorted(rng.sample(range(-300, 300), rng.randrange(0, 200)))) for _ in range(80)]
+    rows += [([], []), ([128 * i for i in range(70_000)], [128 * i for i in range(66_000)])]
+    frame = spark.createDataFrame(rows, "x array<long>, y array<long>")
+    bound = simhash.may_share(simhash.histogram(frame.x), simhash.histogram(frame.y))
+    for x, y, most in frame.select("x", "y", bound).collect():
+        assert len(set(x) & set(y)) <= most <= min(len(x), len(y)) or most == float("inf") and len(x) > 255
