@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+#: Spark's setting that removes the shuffle files of a query when it ends (4.1; earlier versions ignore it).
+SHUFFLE_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "basketlake", cores: str = "*", **conf: str) -> SparkSession:
@@ -45,10 +47,23 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the scratch area: computed once, with a short plan for what follows."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    """The frame as a table in the scratch area: computed once, with a short plan for what follows.
+
+    What follows reads the table only, so the shuffle files of the write are removed at its end, not when the driver
+    happens to collect garbage.
+    """
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP_KEY, None)
+    spark.conf.set(SHUFFLE_CLEANUP_KEY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_KEY)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_KEY, before)
+    table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
 

@@ -88,3 +88,16 @@ def test_guard_looks_into_subqueries(spark, tmp_path):
             guard.guarded_sql(spark, sql)
     assert guard.guarded_sql(spark, "SELECT sum(id) AS s FROM guarded_t WHERE year = 1").first().s == 100
     assert guard.guarded_sql(spark, "SELECT 1 AS x").count() == 1
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """The shuffle of a stored table goes with the write; the setting is as before, and the frame can be run again."""
+    from basketlake.session import SHUFFLE_CLEANUP_KEY, stored
+
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before, setting = tracker.shuffleStatuses().size(), spark.conf.get(SHUFFLE_CLEANUP_KEY, None)
+    counts = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    table = stored(counts, "counts")
+    assert tracker.shuffleStatuses().size() <= before
+    assert spark.conf.get(SHUFFLE_CLEANUP_KEY, None) == setting
+    assert sorted(table.collect()) == sorted(counts.collect())
