@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from basketlake.session import discard, stored
 
-__all__ = ["TOKEN_TABLE", "components", "discard", "guarded", "labelled_rows", "long_hash", "sieve", "spaced_words", "stored", "table", "token_words"]
+__all__ = ["TOKEN_TABLE", "bitmap", "components", "discard", "guarded", "held_bits", "labelled_rows", "long_hash", "sieve", "spaced_words", "stored", "table", "token_words"]
 
 #: Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space; bytes of other characters stay.
 TOKEN_TABLE = bytes(
@@ -90,12 +90,8 @@ def components(edges: DataFrame, a: str, b: str, name: str) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots.select("node", F.col("node").alias("root")))
 
 
-def sieve(keys: DataFrame, key: Column, most: int = SIEVE_BITS):
-    """A Column function that is true for every row whose hash is among those of the keys, and for few other rows.
-
-    The keys become a bitmap of `most` bits, 1 MB if not said otherwise, whatever the input; beyond some millions of keys
-    it lets more rows through, never fewer. Joins behind it stay exact.
-    """
+def bitmap(keys: DataFrame, key: Column, most: int = SIEVE_BITS):
+    """A broadcast of `most` bits as bytes, the first bit highest; set are those of the keys, at their value modulo `most`."""
     slot = F.pmod(key, F.lit(most))
     parts = (
         keys.select(slot.alias("slot"))
@@ -112,12 +108,25 @@ def sieve(keys: DataFrame, key: Column, most: int = SIEVE_BITS):
         bits[at : at + len(part)] |= part[: len(bits) - at]
     if any(row["part"] == 0 for row in parts):
         bits[0] = True
-    packed = keys.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+    return keys.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+
+
+def held_bits(packed: bytes, at: np.ndarray) -> np.ndarray:
+    """Whether the bits at these places of a bitmap are set."""
+    table = np.frombuffer(packed, dtype=np.uint8)
+    return (table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+
+
+def sieve(keys: DataFrame, key: Column, most: int = SIEVE_BITS):
+    """A Column function that is true for every row whose hash is among those of the keys, and for few other rows.
+
+    The keys become a bitmap of `most` bits, 1 MB if not said otherwise, whatever the input; beyond some millions of keys
+    it lets more rows through, never fewer. Joins behind it stay exact.
+    """
+    packed = bitmap(keys, key, most)
 
     @F.arrow_udf("boolean")
     def hit(slots: pa.Array) -> pa.Array:
-        table = np.frombuffer(packed.value, dtype=np.uint8)
-        at = slots.to_numpy(zero_copy_only=False).astype(np.int64)
-        return pa.array((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1)
+        return pa.array(held_bits(packed.value, slots.to_numpy(zero_copy_only=False).astype(np.int64)))
 
     return lambda column: hit(F.pmod(column, F.lit(most)))

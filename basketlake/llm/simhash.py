@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import components, discard, guarded, sieve, spaced_words, stored, table
+from basketlake.llm.common import bitmap, components, discard, guarded, held_bits, sieve, spaced_words, stored, table
 
 CHUNK = 50_000
 MASK = (1 << 64) - 1
@@ -158,26 +158,33 @@ def prefix_length(size: int, least: float) -> int:
     return size - int(np.ceil(least * size - 1e-9)) + 1
 
 
-def prefix(text: Column, k: int, least: float, common: DataFrame) -> Column:
-    """(size, keys) of whole texts: the size of the shingle set and its prefix, rare shingles first, then by hash.
+def prefix(text: Column, k: int, least: float, common: DataFrame, may_meet=None) -> Column:
+    """(size, keys, pos) of whole texts: the size of the shingle set and its prefix, rare shingles first, then by hash.
 
-    common has (key, n) for shingles that are to come late, rising by n. Wordless texts share the key 0.
+    common has (key, n) for shingles that are to come late, rising by n. Wordless texts share the key 0. pos counts the
+    keys from 0; with may_meet, a bitmap of SHARED_BITS, only keys whose upper 32 bits are in it are given.
     """
     rows = sorted((r["key"], r["n"]) for r in common.collect())
     shared = common.sparkSession.sparkContext.broadcast((np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)))
 
-    @F.arrow_udf("struct<size:int, keys:array<long>>")
+    @F.arrow_udf("struct<size:int, keys:array<long>, pos:array<int>>")
     def prefixes(texts: pa.Array) -> pa.Array:
         known, seen = shared.value
-        sizes, keys = [], []
+        sizes, keys, places = [], [], []
         for t in texts:
             own = shingle_hashes(t.as_py(), k)
             sizes.append(len(own))
             if len(own) and len(known):
                 at = np.minimum(np.searchsorted(known, own), len(known) - 1)
                 own = own[np.argsort(np.where(known[at] == own, seen[at], 0), kind="stable")]
-            keys.append(own[: prefix_length(len(own), least)] if len(own) else np.zeros(1, dtype=np.int64))
-        return pa.StructArray.from_arrays([pa.array(sizes, type=pa.int32()), pa.array(keys, type=pa.list_(pa.int64()))], names=["size", "keys"])
+            own = own[: prefix_length(len(own), least)] if len(own) else np.zeros(1, dtype=np.int64)
+            pos = np.arange(len(own), dtype=np.int32)
+            if may_meet is not None:
+                pos = pos[held_bits(may_meet.value, (own >> 32) & (SHARED_BITS - 1))]
+            keys.append(own[pos])
+            places.append(pos)
+        arrays = [pa.array(sizes, type=pa.int32()), pa.array(keys, type=pa.list_(pa.int64())), pa.array(places, type=pa.list_(pa.int32()))]
+        return pa.StructArray.from_arrays(arrays, names=["size", "keys", "pos"])
 
     return prefixes(text)
 
@@ -206,17 +213,32 @@ def histogram(sets: Column) -> Column:
 
     @F.arrow_udf("binary")
     def bars(arrays: pa.Array) -> pa.Array:
-        out = []
-        for x in arrays:
-            numbers = x.values.to_numpy()
-            classes = 1 << max(6, (len(numbers) // 2).bit_length())
-            counts = np.bincount(numbers & (classes - 1), minlength=classes)
-            out.append(np.minimum(counts, FULL).astype(np.uint8).tobytes())
-        return pa.array(out, type=pa.binary())
+        return pa.array([_bars(x.values.to_numpy()) for x in arrays], type=pa.binary())
 
     return bars(sets)
 
 
+def _bars(numbers: np.ndarray) -> bytes:
+    classes = 1 << max(6, (len(numbers) // 2).bit_length())
+    counts = np.bincount(numbers & (classes - 1), minlength=classes)
+    return np.minimum(counts, FULL).astype(np.uint8).tobytes()
+
+
+def text_histogram(text: Column, k: int) -> Column:
+    """(n, bars) of whole texts: the size of the shingle set and its histogram; the set itself stays in the worker."""
+
+    @F.arrow_udf("struct<n:int, bars:binary>")
+    def shown(texts: pa.Array) -> pa.Array:
+        sizes, bars = [], []
+        for t in texts:
+            own = shingle_hashes(t.as_py(), k)
+            sizes.append(len(own))
+            bars.append(_bars(own))
+        return pa.StructArray.from_arrays([pa.array(sizes, type=pa.int32()), pa.array(bars, type=pa.binary())], names=["n", "bars"])
+
+    return shown(text)
+
+
 def _shared_at_most(x: bytes, y: bytes) -> float:
     """The sum of the lower counts; the longer histogram is folded to the classes of the shorter one."""
     x, y = (np.frombuffer(side, dtype=np.uint8) for side in (x, y))
@@ -293,23 +315,25 @@ def members(docs: DataFrame, k: int, least: float) -> DataFrame:
 
     id is a hash of the text's MD5, size that of its shingle set, and reach the number of shingles from this one on.
     Prefixes are made twice rather than stored: first only 32 bits of each shingle are counted, then those that came
-    twice by these bits are written and compared as they are.
+    twice by these bits are written and compared as they are. Both steps are one Python function a task.
     """
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), text.alias("text"))
     share = max(1, docs.count() // COMMON_TEXTS)
     some = keyed.where(F.pmod("id", F.lit(share)) == 0).dropDuplicates(["id"]).select(F.explode(shingle_set(F.col("text"), k)).alias("key"))
     common = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON_IN).orderBy(F.desc("n"), "key").limit(COMMON)
-    shown = keyed.select("id", prefix(F.col("text"), k, least, common).alias("p")).select("id", "p.*")
-    slots = shown.select(F.explode("keys").alias("key")).select(F.shiftright("key", 32).cast("int").alias("slot"))
+    common = stored(common, "near-common")
+    shown = keyed.select(prefix(F.col("text"), k, least, common).alias("p"))
+    slots = shown.select(F.explode("p.keys").alias("key")).select(F.shiftright("key", 32).cast("int").alias("slot"))
     # far more slots than the bitmap has bits: what it takes is only the slots that come twice
     twice = stored(slots.groupBy("slot").agg(F.count("*").alias("n")).where("n > 1").select("slot"), "near-twice")
-    hit = sieve(twice, F.col("slot").cast("long"), SHARED_BITS)
-    flat = shown.select("id", "size", F.posexplode("keys").alias("pos", "key"))
+    may_meet = bitmap(twice, F.col("slot").cast("long"), SHARED_BITS)
+    shown = keyed.select("id", prefix(F.col("text"), k, least, common, may_meet).alias("p")).select("id", "p.*")
+    flat = shown.select("id", "size", F.explode(F.arrays_zip("keys", "pos")).alias("e"))
     likely = stored(
-        flat.where(hit(F.shiftright("key", 32))).select("key", "id", "size", (F.col("size") - F.col("pos")).alias("reach")).distinct(), "near-likely"
+        flat.select(F.col("e.keys").alias("key"), "id", "size", (F.col("size") - F.col("e.pos")).alias("reach")).distinct(), "near-likely"
     )
-    discard(twice)
+    discard(common, twice)
     shared = likely.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo != hi").select("key")
     held = stored(likely.join(shared, "key", "left_semi"), "near-members")
     discard(likely)
@@ -363,7 +387,8 @@ def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
 def similar_pairs(docs: DataFrame, pairs: DataFrame, k: int, least: float) -> DataFrame:
     """(u, v): MD5s of the pairs (a, b) of text ids whose shingle sets are similar enough.
 
-    Sets are made of the texts that stand in a pair, once each; the sieve lets them through where the table is read.
+    Sets are made of the texts that stand in a pair, once each. Up to FEW ids of those are broadcast; more are joined
+    behind the sieve, which lets their texts through where the table is read.
     Pairs first meet with histograms of their sets, which bound what two sets can share from above; whole sets travel
     only with the pairs that stay.
     """
@@ -372,12 +397,14 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, k: int, least: float) -> Da
 
     def of_ends(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         ends = stored(rows.select(F.explode(F.array("a", "b")).alias("id")).distinct(), name)
+        if ends.count() < FEW:
+            return ends, keyed.join(F.broadcast(ends), "id", "left_semi")
         hit = sieve(ends, F.col("id"))
-        return ends, keyed.where(hit(F.col("id"))).join(F.broadcast(ends) if ends.count() < FEW else ends, "id", "left_semi")
+        return ends, keyed.where(hit(F.col("id"))).join(ends, "id", "left_semi")
 
     ends, rows = of_ends(pairs, "near-ends")
-    shown = rows.select("id", "text_key", shingle_set(F.col("text"), k).alias("set"))
-    bars = stored(shown.select("id", "text_key", F.size("set").alias("n"), histogram(F.col("set")).alias("bars")).dropDuplicates(["id", "text_key"]), "near-bars")
+    shown = rows.select("id", "text_key", text_histogram(F.col("text"), k).alias("h"))
+    bars = stored(shown.select("id", "text_key", "h.n", "h.bars").dropDuplicates(["id", "text_key"]), "near-bars")
     one, other = (bars.select(F.col("id").alias(end), F.struct("n", "bars").alias(f"h{end}")) for end in "ab")
     may = may_share(F.col("ha.bars"), F.col("hb.bars")) * (1 + least) + 1e-6 >= least * (F.col("ha.n") + F.col("hb.n"))
     likely = stored(pairs.join(one, "a").join(other, "b").where(may).select("a", "b"), "near-likely-pairs")

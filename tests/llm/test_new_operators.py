@@ -13,6 +13,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from basketlake.llm import pieces, repair, simhash, spelling
@@ -293,3 +294,23 @@ def test_histograms_bound_what_sets_share(spark):
     bound = simhash.may_share(simhash.histogram(frame.x), simhash.histogram(frame.y))
     for x, y, most in frame.select("x", "y", bound).collect():
         assert len(set(x) & set(y)) <= most <= min(len(x), len(y)) or most == float("inf") and len(x) > 255
+
+
+def test_prefixes_with_a_bitmap_keep_what_is_in_it(spark):
+    """Keys and places of the whole prefix whose upper bits are in the bitmap, and no others; histograms as of the sets."""
+    from basketlake.llm.common import bitmap
+
+    texts = spark.createDataFrame([(" ".join(f"w{i * j}" for i in range(60)),) for j in range(1, 30)] + [("",), (None,)], "text string")
+    common = spark.createDataFrame([], "key long, n long")
+    whole = texts.select(simhash.prefix(F.col("text"), 5, 0.8, common).alias("p"))
+    keys = sorted({k for r in whole.collect() for k in r.p["keys"]})
+    kept = {k >> 32 for k in keys[::3]}
+    bits = bitmap(spark.createDataFrame([(s,) for s in kept], "slot long"), F.col("slot"), simhash.SHARED_BITS)
+    slots = {s % simhash.SHARED_BITS for s in kept}
+    some = texts.select(simhash.prefix(F.col("text"), 5, 0.8, common, bits).alias("p")).collect()
+    for full, part in zip(whole.collect(), some, strict=True):
+        wanted = [(k, i) for i, k in enumerate(full.p["keys"]) if (k >> 32) % simhash.SHARED_BITS in slots]
+        assert list(zip(part.p["keys"], part.p["pos"], strict=True)) == wanted and part.p["size"] == full.p["size"]
+    sets = texts.select(simhash.shingle_set(F.col("text"), 5).alias("s"), simhash.text_histogram(F.col("text"), 5).alias("h"))
+    for row in sets.select(F.size("s").alias("n"), simhash.histogram(F.col("s")).alias("bars"), "h").collect():
+        assert (row.h.n, row.h.bars) == (row.n, row.bars)
