@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlake.operators.baskets import SET_COLUMN
 from basketlake.schemas import (
     DEPT_ROLLUP_KEYS,
     DEPT_ROLLUP_LABELS,
@@ -13,11 +14,14 @@ from basketlake.schemas import (
 )
 
 
-def _daily(detail: DataFrame, keys, labels) -> DataFrame:
+def _daily(detail: DataFrame, keys, labels, numbers: DataFrame | None = None) -> DataFrame:
     """Sums, line counts and exact basket counts per key; labels are the smallest of each group.
 
     The basket count is taken over a (key, transaction) pre-aggregate, so Spark shuffles one row per
     basket and key and a hot key is spread by its transactions.
+
+    With `numbers` (transaction_id, basket_no) a row also keeps the numbers of its baskets, at most those of one store
+    and day, and the sum of its prices.
     """
     by_basket = (
         detail.withColumn("sale_date", F.to_date("transaction_ts"))
@@ -28,23 +32,29 @@ def _daily(detail: DataFrame, keys, labels) -> DataFrame:
             F.sum("gross_margin").alias("margin"),
             F.sum(F.col("loyalty_discount") + F.col("premium_discount")).alias("discount"),
             F.count(F.lit(1)).alias("line_count"),
+            *([F.sum("unit_price").alias("price_sum")] if numbers is not None else []),
             *[F.min(label).alias(label) for label in labels],
         )
     )
+    sets = []
+    if numbers is not None:
+        by_basket = by_basket.join(numbers, "transaction_id", "left")
+        sets = [F.sum("price_sum").alias("price_sum"), F.sort_array(F.collect_list("basket_no")).alias(SET_COLUMN)]
     return by_basket.groupBy(*keys).agg(
         *[F.min(label).alias(label) for label in labels],
         F.sum("units").cast("decimal(18,3)").alias("units"),
         *[F.sum(m).cast("decimal(18,2)").alias(m) for m in ("revenue", "margin", "discount")],
         F.sum("line_count").alias("line_count"),
         F.count(F.lit(1)).alias("basket_count"),
+        *sets,
     )
 
 
-def item_rollup(detail: DataFrame) -> DataFrame:
+def item_rollup(detail: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
     """Day, store, item, line class; lines without a barcode by product and department."""
-    return _daily(detail, ITEM_ROLLUP_KEYS, ITEM_ROLLUP_LABELS)
+    return _daily(detail, ITEM_ROLLUP_KEYS, ITEM_ROLLUP_LABELS, numbers)
 
 
-def dept_rollup(detail: DataFrame) -> DataFrame:
+def dept_rollup(detail: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
     """Day, store, department, category, tender, line class."""
-    return _daily(detail, DEPT_ROLLUP_KEYS, DEPT_ROLLUP_LABELS)
+    return _daily(detail, DEPT_ROLLUP_KEYS, DEPT_ROLLUP_LABELS, numbers)

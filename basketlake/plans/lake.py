@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlake.functions.dates import DEFAULT_HISTORY_START
+from basketlake.operators.baskets import SET_COLUMN
 from basketlake.schemas import (
     DEPT_ROLLUP_KEYS,
     DEPT_ROLLUP_LABELS,
@@ -20,6 +21,8 @@ ADDITIVE = ("units", "revenue", "margin", "discount", "line_count")
 # A department code can come with several names, of which a department row keeps one: reports by name need items.
 _DEPT = {*DEPT_ROLLUP_KEYS, *DEPT_ROLLUP_LABELS, *ADDITIVE} - {"department_name"}
 _ITEM = {*ITEM_ROLLUP_KEYS, *ITEM_ROLLUP_LABELS, *ADDITIVE}
+# Kept by rollups that were built with basket numbers; detail lines have transaction_id and unit_price instead.
+_WITH_SETS = {SET_COLUMN, "price_sum"}
 
 
 def detail_measures(detail: DataFrame) -> DataFrame:
@@ -31,6 +34,7 @@ def detail_measures(detail: DataFrame) -> DataFrame:
         "margin": F.col("gross_margin"),
         "discount": F.col("loyalty_discount") + F.col("premium_discount"),
         "line_count": F.lit(1).cast("long"),
+        "price_sum": F.col("unit_price"),
     })
 
 
@@ -50,10 +54,11 @@ class Lake:
     history_start: dt.date = DEFAULT_HISTORY_START
 
     def route(self, columns: set[str]) -> str:
-        if self.rollup_dept is not None and columns <= _DEPT:
-            return "rollup_dept"
-        if self.rollup_item is not None and columns <= _ITEM:
-            return "rollup_item"
+        sets = columns & _WITH_SETS
+        for name, offered in (("rollup_dept", _DEPT), ("rollup_item", _ITEM)):
+            stored = getattr(self, name)
+            if stored is not None and columns - sets <= offered and (not sets or sets <= set(stored.columns)):
+                return name
         return "detail"
 
     def measures(self, *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ from basketlake.fixed_values import DEPARTMENTS
 from basketlake.functions import dates, flags
 from basketlake.functions.numbers import percent_change, ratio
 from basketlake.functions.text import strip_zeros
-from basketlake.operators import resolve
+from basketlake.operators import baskets, resolve
 from basketlake.plans.lake import Lake
 
 MONEY = ("revenue", "units", "margin")
@@ -135,16 +135,11 @@ def tender_scope(lake: Lake, period: str, columns: tuple[str, ...], tender: str
 
 def tender_analysis(lake: Lake, period: str = "last_30_days", tender: str | None = None) -> DataFrame:
     """Sales per way of payment, with exact baskets and the share of all tendered sales."""
-    columns = ("transaction_id", "revenue", "margin")
+    columns = (baskets.SET_COLUMN, "revenue", "margin")
     whole = tender_scope(lake, period, columns, None)
     total = whole.agg(F.sum("revenue").cast("double").alias("total")).scalar()
     rows = tender_scope(lake, period, columns, tender)
-    by_basket = rows.groupBy("tender_type", "transaction_id").agg(
-        F.sum("revenue").alias("revenue"), F.sum("margin").alias("margin")
-    )
-    groups = by_basket.groupBy("tender_type").agg(
-        *money_sums("revenue", "margin"), F.count(F.lit(1)).alias("baskets")
-    )
+    groups = baskets.grouped(rows, ["tender_type"], money_sums("revenue", "margin"))
     return groups.select(
         "tender_type", flags.tender_label(F.col("tender_type")).alias("label"), "revenue", "margin", "baskets",
         ratio(F.col("revenue"), F.col("baskets")).alias("average_basket"),
@@ -225,7 +220,7 @@ def seasonal_trends(
     windows = [
         (label, dates.years_back(start, n), dates.years_back(end, n)) for n, label in enumerate(YEAR_LABELS)
     ]
-    rows = lake.measures("sale_date", "transaction_type", "store_id", "department_code", "transaction_id", *MONEY)
+    rows = lake.measures("sale_date", "transaction_type", "store_id", "department_code", baskets.SET_COLUMN, *MONEY)
     rows = rows.where(F.col("transaction_type") == "SALE")
     if store_id:
         rows = rows.where(F.col("store_id") == store_id)
@@ -242,13 +237,8 @@ def seasonal_trends(
     hits = F.array_compact(F.array(*[
         F.when(F.col("sale_date").between(F.lit(first), F.lit(last)), F.lit(label)) for label, first, last in windows
     ]))
-    by_basket = (
-        rows.where(covered)
-        .withColumn("label", F.explode(hits))
-        .groupBy("label", "transaction_id")
-        .agg(*[F.sum(m).alias(m) for m in MONEY])
-    )
-    sums = by_basket.groupBy("label").agg(*money_sums(*MONEY), F.count(F.lit(1)).alias("transactions"))
+    labelled = rows.where(covered).withColumn("label", F.explode(hits))
+    sums = baskets.grouped(labelled, ["label"], money_sums(*MONEY), "transactions")
     listed = ", ".join(f"('{label}', DATE'{first}', DATE'{last}')" for label, first, last in windows)
     frame = lake.detail.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t(label, first_day, last_day)")
     full = frame.join(sums, "label", "left").na.fill(0, [*MONEY, "transactions"])
@@ -265,9 +255,8 @@ STORE_METRICS = ("revenue", "units", "transactions", "avg_basket", "margin", "ma
 def store_comparison(lake: Lake, period: str = "last_30_days", metric: str = "revenue") -> DataFrame:
     """Stores side by side, ranked by one measure. The ranking window holds one row per store."""
     metric = metric if metric in STORE_METRICS else "revenue"
-    rows = sales(lake, period, ("store_name", "transaction_id", *MONEY))
-    by_basket = rows.groupBy("store_name", "transaction_id").agg(*[F.sum(m).alias(m) for m in MONEY])
-    stores = by_basket.groupBy("store_name").agg(*money_sums(*MONEY), F.count(F.lit(1)).alias("transactions"))
+    rows = sales(lake, period, ("store_name", baskets.SET_COLUMN, *MONEY))
+    stores = baskets.grouped(rows, ["store_name"], money_sums(*MONEY), "transactions")
     stores = stores.withColumns({
         "avg_basket": ratio(F.col("revenue"), F.col("transactions")),
         "margin_pct": ratio(F.col("margin"), F.col("revenue"), 100.0),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from basketlake.fixed_values import SEARCH_STOP_WORDS, STEM_MIN_RESULT, STEM_MIN_WORD, STEM_SUFFIXES
 from basketlake.functions.numbers import ratio
 from basketlake.functions.text import strip_zeros
+from basketlake.operators import baskets
 from basketlake.operators.resolve import contains_all
 from basketlake.plans.lake import Lake
 from basketlake.plans.reports import MONEY, in_scope, item_code, money_sums, ranked_list, sales
@@ -63,18 +64,11 @@ def search_totals(lake: Lake, query: str, period: str = "last_30_days", store_id
 
 def _grouped(rows: DataFrame, key: str, limit: int) -> DataFrame:
     """Per product or barcode: sums, mean price, exact baskets and barcodes; the largest first."""
-    by_basket = rows.groupBy(key, "item_id", "transaction_id") if key != "item_id" else rows.groupBy(key, "transaction_id")
-    partial = by_basket.agg(
+    groups = baskets.grouped(rows.withColumn("grp", F.col(key)), ["grp"], [
         F.min("item_desc").alias("item_desc"), F.min("department_name").alias("department_name"),
-        F.min("category_name").alias("category_name"), *[F.sum(m).alias(m) for m in MONEY],
-        F.sum("unit_price").alias("_price"), F.count(F.lit(1)).alias("_lines"),
-    )
-    groups = partial.groupBy(F.col(key).alias("grp")).agg(
-        F.min("item_desc").alias("item_desc"), F.min("department_name").alias("department_name"),
-        F.min("category_name").alias("category_name"),
-        F.count_distinct("item_id").alias("barcodes"), F.count_distinct("transaction_id").alias("baskets"),
-        *money_sums(*MONEY), F.sum("_price").cast("double").alias("_price"), F.sum("_lines").alias("_lines"),
-    )
+        F.min("category_name").alias("category_name"), F.count_distinct("item_id").alias("barcodes"),
+        *money_sums(*MONEY), F.sum("price_sum").cast("double").alias("_price"), F.sum("line_count").alias("_lines"),
+    ])
     return ranked_list(groups, [F.desc("revenue"), F.col("grp")], limit).select(
         "position", "grp", "item_desc", "department_name", "category_name", "barcodes", "baskets", *MONEY,
         ratio(F.col("_price"), F.col("_lines")).alias("avg_price"),
@@ -82,7 +76,7 @@ def _grouped(rows: DataFrame, key: str, limit: int) -> DataFrame:
     )
 
 
-_LISTED = ("department_name", "category_name", "transaction_id", "unit_price", *MONEY)
+_LISTED = ("department_name", "category_name", baskets.SET_COLUMN, "price_sum", "line_count", *MONEY)
 
 
 def search_items(
@@ -134,15 +128,9 @@ def search_barcode_catalogue(
     """Catalogue items of a barcode with their sales; items that did not sell stay, with zeros."""
     code = query_barcode(query)
     items = lake.catalogue.where(_is_barcode(code))
-    rows = sales(lake, period, ("item_id", "transaction_id", *MONEY), store_id=store_id)
-    sold = (
-        rows.withColumn("code", item_code())
-        .where(_is_barcode(code))
-        .groupBy("code", "transaction_id")
-        .agg(*[F.sum(m).alias(m) for m in MONEY])
-        .groupBy("code")
-        .agg(*money_sums(*MONEY), F.count(F.lit(1)).alias("baskets"))
-    )
+    rows = sales(lake, period, ("item_id", baskets.SET_COLUMN, *MONEY), store_id=store_id)
+    coded = rows.withColumn("code", item_code()).where(_is_barcode(code))
+    sold = baskets.grouped(coded, ["code"], money_sums(*MONEY))
     full = items.withColumn("code", item_code()).join(sold, "code", "left").na.fill(0, [*MONEY, "baskets"])
     listed = ranked_list(full, [F.desc("revenue"), F.col("item_id")], limit)
     return listed.select(

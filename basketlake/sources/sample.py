@@ -10,9 +10,10 @@ from pyspark.sql.types import StructType
 
 from basketlake.functions import dates
 from basketlake.operators.lines import enrich, classify, render
+from basketlake.operators.baskets import number_baskets
 from basketlake.operators.rollups import dept_rollup, item_rollup
 from basketlake.plans.lake import Lake
-from basketlake.session import work_dir
+from basketlake.session import stored, work_dir
 from basketlake.sources import mapping, sinks
 
 TABLES = (
@@ -82,11 +83,18 @@ def stored_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_rollups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The two rollups of the stored detail, stored beside it."""
+    """The two rollups of the stored detail with sets of baskets, stored beside it."""
     lines = stored_detail(spark, sf_dir)
+
+    def numbers() -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir, "basket_numbers", _version(spark, sf_dir))
+        if key not in _STORED:
+            _STORED[key] = stored(number_baskets(lines), "basket_numbers").stored_at
+        return spark.read.schema("transaction_id string, basket_no long").parquet(_STORED[key])
+
     return {
-        "rollup_item": _kept(spark, sf_dir, "rollup_item", lambda: item_rollup(lines), "sale_date", ("store_id", "item_id")),
-        "rollup_dept": _kept(spark, sf_dir, "rollup_dept", lambda: dept_rollup(lines), "sale_date", ("store_id",)),
+        "rollup_item": _kept(spark, sf_dir, "rollup_item", lambda: item_rollup(lines, numbers()), "sale_date", ("store_id", "item_id")),
+        "rollup_dept": _kept(spark, sf_dir, "rollup_dept", lambda: dept_rollup(lines, numbers()), "sale_date", ("store_id",)),
     }
 
 

@@ -14,9 +14,9 @@ ROUTED = {
     ],
     "rollup_dept": [
         lambda lake: reports.sales_summary(lake, "this_year", "store"), lambda lake: reports.sales_summary(lake, "this_year", "category"),
-        lambda lake: reports.loss_report(lake, "this_year"), lambda lake: recipes.category_peak_month(lake),
+        lambda lake: reports.tender_analysis(lake, "this_year"), lambda lake: reports.loss_report(lake, "this_year"), lambda lake: recipes.category_peak_month(lake),
     ],
-    "detail": [lambda lake: reports.tender_analysis(lake, "this_year"), lambda lake: recipes.cashier_void_rate(lake, "this_year")],
+    "detail": [lambda lake: recipes.basket_size_by_tender(lake, "this_year"), lambda lake: recipes.cashier_void_rate(lake, "this_year")],
 }
 
 
