@@ -15,11 +15,14 @@ SET_COLUMN = "baskets"
 _BITS = 1 << 15
 
 
-def number_baskets(detail: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """(transaction_id, basket_no) for every basket of the detail lines; numbers differ and follow first day and store.
+NUMBER_SCHEMA = "transaction_id string, basket_no long, first_day date"
 
-    Ids in `known`, a stored table of this form, keep their numbers; new ones come after its largest. A null id is no
-    basket, as in a distinct count. Write the result before use: numbers are made by place.
+
+def new_baskets(detail: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(transaction_id, basket_no, first_day) for the baskets of the detail lines that are not in `known` yet.
+
+    Numbers differ, come after the largest of `known`, a stored table of this form, and follow first day and store. A
+    null id is no basket, as in a distinct count. Write the result before use: numbers are made by place.
     """
     ids = detail.where(F.col("transaction_id").isNotNull()).groupBy("transaction_id").agg(
         F.min(F.struct(F.to_date("transaction_ts").alias("day"), "store_id")).alias("_first")
@@ -31,9 +34,8 @@ def number_baskets(detail: DataFrame, known: DataFrame | None = None) -> DataFra
         # Whole bitmaps, so that new baskets share none with old ones.
         start = F.coalesce((F.floor(last / _BITS) + 1) * _BITS, F.lit(0)).cast("long")
     placed = ids.repartitionByRange("_first", "transaction_id").sortWithinPartitions("_first", "transaction_id")
-    new = placed.select("transaction_id", F.monotonically_increasing_id().alias("_place"))
-    new = new.select("transaction_id", (F.col("_place") + start).alias("basket_no"))
-    return new if known is None else known.select("transaction_id", "basket_no").unionByName(new)
+    new = placed.select("transaction_id", F.monotonically_increasing_id().alias("_place"), F.col("_first.day").alias("first_day"))
+    return new.select("transaction_id", (F.col("_place") + start).alias("basket_no"), "first_day")
 
 
 def count_baskets(rows: DataFrame, *keys: str, name: str = "baskets") -> DataFrame:

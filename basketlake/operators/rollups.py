@@ -38,7 +38,7 @@ def _daily(detail: DataFrame, keys, labels, numbers: DataFrame | None = None) ->
     )
     sets = []
     if numbers is not None:
-        by_basket = by_basket.join(numbers, "transaction_id", "left")
+        by_basket = by_basket.join(numbers.select("transaction_id", "basket_no"), "transaction_id", "left")
         sets = [F.sum("price_sum").alias("price_sum"), F.sort_array(F.collect_list("basket_no")).alias(SET_COLUMN)]
     return by_basket.groupBy(*keys).agg(
         *[F.min(label).alias(label) for label in labels],

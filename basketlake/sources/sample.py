@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from basketlake.functions import dates
 from basketlake.operators.lines import enrich, classify, render
-from basketlake.operators.baskets import number_baskets
+from basketlake.operators.baskets import NUMBER_SCHEMA, new_baskets
 from basketlake.operators.rollups import dept_rollup, item_rollup
 from basketlake.plans.lake import Lake
 from basketlake.session import stored, work_dir
@@ -89,8 +89,8 @@ def stored_rollups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     def numbers() -> DataFrame:
         key = (spark.sparkContext.applicationId, sf_dir, "basket_numbers", _version(spark, sf_dir))
         if key not in _STORED:
-            _STORED[key] = stored(number_baskets(lines), "basket_numbers").stored_at
-        return spark.read.schema("transaction_id string, basket_no long").parquet(_STORED[key])
+            _STORED[key] = stored(new_baskets(lines), "basket_numbers").stored_at
+        return spark.read.schema(NUMBER_SCHEMA).parquet(_STORED[key])
 
     return {
         "rollup_item": _kept(spark, sf_dir, "rollup_item", lambda: item_rollup(lines, numbers()), "sale_date", ("store_id", "item_id")),

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from basketlake.operators import lines as line_ops
 from basketlake.plans import nightly
 from basketlake.schemas import log_schema
+from basketlake.sources import versions
 from basketlake.sources.raw_log import CSV_OPTIONS, LOG_FILES, PARTITION_FIELDS, read_log
 from basketlake.sources.sinks import LAYOUT
 
@@ -96,7 +97,7 @@ def rebuild_touched(
     Only these partitions are replaced, so a batch that is retried gives the same tables. The list is as
     short as the folders a batch brings; it becomes a partition filter on the raw log.
     """
-    parts = [row.asDict() for row in touched.select(*LAYOUT).distinct().toLocalIterator()]
+    parts = versions.touched_parts(touched)
     if parts:
         raw = read_log(spark, raw_path, partitions=LAYOUT).where(nightly.any_partition(parts))
         nightly.rebuild(spark, raw, master, target, stores)

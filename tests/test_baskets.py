@@ -50,7 +50,7 @@ def lines(spark):
 
 def test_a_basket_on_several_days_counts_once(spark):
     detail = lines(spark)
-    numbers = stored(baskets.number_baskets(detail), "numbers")
+    numbers = stored(baskets.new_baskets(detail), "numbers")
     assert numbers.count() == 3 and numbers.select("basket_no").distinct().count() == 3
     daily = detail.join(numbers, "transaction_id", "left").groupBy(F.to_date("transaction_ts").alias("day"), "grp").agg(
         F.collect_set("basket_no").alias("baskets")
@@ -65,13 +65,13 @@ def test_a_basket_on_several_days_counts_once(spark):
 
 def test_known_baskets_keep_their_numbers(spark):
     detail = lines(spark)
-    first = stored(baskets.number_baskets(detail.where("grp = 'x'")), "numbers")
-    second = stored(baskets.number_baskets(detail, first), "numbers")
-    old, new = (dict(f.collect()) for f in (first, second))
-    assert {k: new[k] for k in old} == old and set(new) == {"T1", "T2", "T3"}
+    first = stored(baskets.new_baskets(detail.where("grp = 'x'")), "numbers")
+    second = stored(baskets.new_baskets(detail, first), "numbers")
+    old, new = ({r.transaction_id: r.basket_no for r in f.collect()} for f in (first, second))
+    assert set(old) == {"T1", "T2"} and set(new) == {"T3"}
     assert new["T3"] // 32768 > max(old.values()) // 32768
-    empty = stored(baskets.number_baskets(detail.where("false")), "numbers")
-    assert empty.count() == 0 and baskets.number_baskets(detail, empty).count() == 3
+    empty = stored(baskets.new_baskets(detail.where("false")), "numbers")
+    assert empty.count() == 0 and baskets.new_baskets(detail, empty).count() == 3
 
 
 def test_many_numbers_in_many_bitmaps(spark):

@@ -12,7 +12,7 @@ from basketlake.functions import dates, flags, numbers, text
 from basketlake.operators import catalogue, guard, lines, movement, reconcile, resolve, rollups, textscan
 from basketlake.plans import nightly, recipes, reports, search
 from basketlake.session import stored, work_dir
-from basketlake.sources import dims, raw_log, sample, sinks
+from basketlake.sources import dims, raw_log, sample, sinks, versions
 from basketlake.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -449,7 +449,7 @@ def publish_gate(spark, sf):
     nightly.run(
         spark, written_log(spark, sf), sample.item_master(spark, sf), target, "backfill", stores=stores(spark, sf)
     )
-    return sinks.read_table(spark, f"{target}/rollup_dept").groupBy("store_name", "transaction_type").agg(
+    return versions.tables(spark, target)["rollup_dept"].groupBy("store_name", "transaction_type").agg(
         F.sum("line_count").alias("lines"), F.sum("revenue").cast("double").alias("revenue")
     )
 
@@ -692,7 +692,7 @@ def stream_foreach_rollup(spark, sf):
         jobs.rebuild_touched(touched.sparkSession, raw, touched, master, target)
 
     jobs.rebuild_stream(jobs.log_stream(spark, raw), rebuild, work_dir(spark, "state")).awaitTermination()
-    return sinks.read_table(spark, f"{target}/rollup_item").groupBy("sale_date", "store_id", "transaction_type").agg(
+    return versions.tables(spark, target)["rollup_item"].groupBy("sale_date", "store_id", "transaction_type").agg(
         F.sum("line_count").alias("lines"), F.sum("revenue").cast("double").alias("revenue")
     )
 
@@ -704,7 +704,7 @@ def backfill_equals_incremental(spark, sf):
     master = sample.item_master(spark, sf)
 
     def months():
-        return sinks.read_table(spark, f"{target}/detail").groupBy("year", "month").agg(
+        return versions.tables(spark, target)["detail"].groupBy("year", "month").agg(
             F.count(F.lit(1)).alias("lines"), F.sum("extended_price").cast("double").alias("revenue")
         )
 
