@@ -66,17 +66,3 @@ def write_log(record_lines: DataFrame, path: str, value: str = "value") -> None:
         .options(extension="dat", sep="\u0001", quote="\u0000", emptyValue="", escape="\u0000")
         .csv(path)
     )
-
-
-def drop_partitions(spark: SparkSession, path: str, partitions: DataFrame, layout=LAYOUT) -> int:
-    """Delete the folders of partitions that a rebuild has left without rows.
-
-    Takes one row per partition touched by a rebuild, a bounded list; returns how many were there.
-    """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dropped = 0
-    for row in partitions.select(*layout).distinct().toLocalIterator():
-        folder = hadoop(path + "".join(f"/{key}={row[key]}" for key in layout))
-        dropped += bool(folder.getFileSystem(conf).delete(folder, True))
-    return dropped

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,15 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from basketlake.operators import lines as line_ops
 from basketlake.plans import nightly
 from basketlake.schemas import log_schema
+from basketlake.session import discard, stored
 from basketlake.sources import versions
 from basketlake.sources.raw_log import CSV_OPTIONS, LOG_FILES, PARTITION_FIELDS, read_log
-from basketlake.sources.sinks import LAYOUT
+from basketlake.sources.sinks import LAYOUT, with_partitions
 
 LATENESS = "3 days"
+STATE_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DAYS = ("year", "month", "day")
 
 
 def log_stream(
@@ -23,7 +28,8 @@ def log_stream(
 ) -> DataFrame:
     """New log files below year/month as a stream; the first batch sweeps what is waiting.
 
-    Files are taken once by name. A rewritten file is not read again, so producers write new names.
+    Files are taken once by name. A rewritten file is not read again, so producers write new names. Lines carry the
+    file and the split they come from; a file is never cut between batches.
     """
     schema = log_schema()
     for key in LAYOUT:
@@ -31,7 +37,8 @@ def log_stream(
     reader = spark.readStream.schema(schema).options(pathGlobFilter=pattern, **CSV_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(path).na.fill("")
+    lines = reader.csv(path).na.fill("")
+    return lines.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -40,10 +47,29 @@ def _start(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> S
     return writer.start()
 
 
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, on disk, not in the executors' heaps."""
+    before = spark.conf.get(STATE_KEY, None)
+    spark.conf.set(STATE_KEY, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_KEY) if before is None else spark.conf.set(STATE_KEY, before)
+
+
 def ingest(stream: DataFrame, target: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Typed item lines appended to a table; each line stands on its own, so no state is kept."""
-    writer = line_ops.typed(stream).writeStream.format("parquet").option("path", target).outputMode("append")
-    return _start(writer, checkpoint, interval)
+    """Typed item lines with the tender of their transaction, a folder of the table per batch.
+
+    A transaction is a run of lines of one file, and batches are whole files, so every run is settled inside its batch
+    and no state is kept. A batch that is retried replaces its folder.
+    """
+
+    def save(batch: DataFrame, number: int) -> None:
+        lines = batch.withColumn("ord", F.monotonically_increasing_id())
+        line_ops.typed(line_ops.tendered_runs(lines)).write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return _start(stream.writeStream.foreachBatch(save), checkpoint, interval)
 
 
 def content_once(
@@ -58,7 +84,10 @@ def content_once(
 
 
 def daily_rollup(stream: DataFrame, keys: list[str], approximate_baskets: bool = True) -> DataFrame:
-    """Event-time day by key, open for late lines; exact basket counts come from the batch rebuild."""
+    """Event-time day by key, open for lines up to LATENESS late; exact basket counts come from the batch rebuild.
+
+    For the update mode: a day that the watermark has passed leaves the state, and later lines of it are dropped.
+    """
     at = stream.withColumn("event_time", F.col("transaction_ts").cast("timestamp"))
     sums = [
         F.sum("quantity").alias("units"), F.sum("extended_price").alias("revenue"),
@@ -70,22 +99,44 @@ def daily_rollup(stream: DataFrame, keys: list[str], approximate_baskets: bool =
     return grouped.select(F.to_date("window.start").alias("sale_date"), *keys, *[c for c in grouped.columns if c not in ("window", *keys)])
 
 
-def keep_state_table(
-    stream: DataFrame, target: str, checkpoint: str, interval: str | None = None
+def merge_days(spark: SparkSession, changed: DataFrame, keys: list[str], target: str) -> None:
+    """Put the changed rows of a daily table in the place of those with the same day and keys; other days aren't read.
+
+    The touched days are switched in one step, and the same rows once more give the same table. `changed` has one row
+    per sale_date and keys.
+    """
+    rows = stored(with_partitions(changed, "sale_date"), "changed-days")
+    touched = versions.touched_parts(rows, DAYS)
+    if not touched:
+        return
+    base = versions.read_manifest(spark, target)
+    names = [c for c in changed.columns if c not in DAYS]
+    new = rows.select(*names)
+    if "daily" in base.schemas:
+        day = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+        before = versions.tables(spark, target, base)["daily"].where(day.isin([y * 10000 + m * 100 + d for y, m, d in touched]))
+        old, now = before.select(*names).alias("old"), new.select("sale_date", *keys).alias("now")
+        same = [F.col(f"old.{k}").eqNullSafe(F.col(f"now.{k}")) for k in ("sale_date", *keys)]
+        new = old.join(now, same, "left_anti").unionByName(new)
+    versions.publish(spark, target, {"daily": new}, {"daily": "sale_date"}, touched, base=base, layout=DAYS)
+    versions.expire(spark, target)
+    discard(rows)
+
+
+def keep_daily(
+    daily: DataFrame, keys: list[str], target: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    """The whole result table rewritten after each batch (complete output), one folder per batch."""
+    """A daily rollup kept up to date: each batch brings the rows it changed, and only their days are written again."""
 
     def save(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        merge_days(batch.sparkSession, batch, keys, target)
 
-    return _start(stream.writeStream.outputMode("complete").foreachBatch(save), checkpoint, interval)
+    return _start(daily.writeStream.outputMode("update").foreachBatch(save), checkpoint, interval)
 
 
-def latest_state(spark: SparkSession, target: str) -> DataFrame:
-    """The table the last batch wrote."""
-    table = spark.read.parquet(target)
-    newest = table.agg(F.max("batch").alias("b")).scalar()
-    return table.where(F.col("batch") == newest).drop("batch")
+def latest_daily(spark: SparkSession, target: str) -> DataFrame:
+    """The daily table as the last finished batch left it."""
+    return versions.tables(spark, target)["daily"].drop(*DAYS)
 
 
 def rebuild_touched(

@@ -317,7 +317,7 @@ SELECT t.source, count(*) AS lines, {d('sum(revenue)')} AS revenue, CAST(0 AS BI
   FROM sold CROSS JOIN {_FOUR} WHERE {_where} GROUP BY t.source""")
 _BY_TYPE = f"count(*) AS lines, {d('sum(revenue)')} AS revenue"
 oracle("publish_gate", f"SELECT store_name, transaction_type, {_BY_TYPE} FROM detail GROUP BY ALL")
-oracle("stream_ingest", f"SELECT store_id, transaction_type, {_BY_TYPE} FROM detail GROUP BY ALL")
+oracle("stream_ingest", f"SELECT store_id, transaction_type, tender_type, {_BY_TYPE} FROM detail GROUP BY ALL")
 oracle("stream_foreach_rollup", f"SELECT sale_date, store_id, transaction_type, {_BY_TYPE} FROM detail GROUP BY ALL")
 oracle("stream_daily_rollup", f"SELECT sale_date, store_id, transaction_type, {d('sum(units)')} AS units, {d('sum(revenue)')} AS revenue, count(*) AS line_count FROM detail GROUP BY ALL")
 oracle("backfill_equals_incremental", f"SELECT {_YM}, {_BY_TYPE} FROM detail GROUP BY ALL")

@@ -653,7 +653,7 @@ def diff_scan(spark, sf):
 def stream_ingest(spark, sf):
     raw, target = written_log(spark, sf), work_dir(spark, "ingested")
     jobs.ingest(jobs.log_stream(spark, raw), target, work_dir(spark, "state")).awaitTermination()
-    return spark.read.parquet(target).groupBy("store_id", "transaction_type").agg(
+    return spark.read.parquet(target).groupBy("store_id", "transaction_type", "tender_type").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("extended_price").cast("double").alias("revenue")
     )
 
@@ -666,9 +666,11 @@ def stream_dedup(spark, sf):
     )
     docs.write.parquet(source)
     stream = spark.readStream.schema(docs.schema).parquet(source)
-    once = jobs.content_once(stream, "text", ["source"], lateness="36500 days").select("source", "content_md5")
+    once = jobs.content_once(stream, "text", ["source"]).select("source", "content_md5")
     writer = once.writeStream.format("parquet").option("path", target).option("checkpointLocation", work_dir(spark, "state"))
-    writer.trigger(availableNow=True).start().awaitTermination()
+    with jobs.disk_state(spark):
+        running = writer.trigger(availableNow=True).start()
+    running.awaitTermination()
     return spark.read.parquet(target)
 
 
@@ -676,9 +678,10 @@ def stream_dedup(spark, sf):
 def stream_daily_rollup(spark, sf):
     raw, target = written_log(spark, sf), work_dir(spark, "daily")
     items = lines.typed(jobs.log_stream(spark, raw))
-    daily = jobs.daily_rollup(items, ["store_id", "transaction_type"], approximate_baskets=False)
-    jobs.keep_state_table(daily, target, work_dir(spark, "state")).awaitTermination()
-    return jobs.latest_state(spark, target).withColumns({
+    keys = ["store_id", "transaction_type"]
+    daily = jobs.daily_rollup(items, keys, approximate_baskets=False)
+    jobs.keep_daily(daily, keys, target, work_dir(spark, "state")).awaitTermination()
+    return jobs.latest_daily(spark, target).withColumns({
         "units": F.col("units").cast("double"), "revenue": F.col("revenue").cast("double")
     })
 
