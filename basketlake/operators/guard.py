@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ class QueryRefused(ValueError):
     """A query that is not run."""
 
 
+LOG_SCHEMA = "query_id string, ts timestamp_ntz, sql string, bytes long"
 #: Leaves of a plan that read no stored table.
 _NO_TABLE = {"LocalTableScanExec", "RangeExec", "OneRowRelationExec", "EmptyRelationExec"}
 
@@ -52,6 +54,23 @@ def unpruned_tables(df: DataFrame) -> list[str]:
     ]
 
 
+def bytes_to_scan(df: DataFrame) -> int:
+    """Bytes of the files that the partition filters of a plan leave, from the file index; nothing is read or run.
+
+    Column pruning and statistics can only lower what is then read.
+    """
+    return sum(int(scan.selectedPartitions().totalFileSize()) for scan in _scans(df))
+
+
+def spent_on(spark: SparkSession, log_path: str, day: dt.date) -> float:
+    """Dollars that the queries of a log table have cost on a day; 0 where there is no table yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log_path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return 0.0
+    rows = spark.read.schema(LOG_SCHEMA).parquet(log_path).where(F.to_date("ts") == F.lit(day))
+    return rows.agg(F.coalesce(scan_cost(F.sum("bytes")), F.lit(0.0)).alias("spent")).first().spent
+
+
 def reads_whole_table(sql: str) -> bool:
     """A bare SELECT * with neither a row limit nor an aggregate."""
     text = " ".join(sql.lower().split())
@@ -59,20 +78,27 @@ def reads_whole_table(sql: str) -> bool:
     return "select *" in text and " limit " not in text and "group by" not in text and not reduces
 
 
-def guarded_sql(spark: SparkSession, sql: str, limit: int = 50, spent: float = 0.0) -> DataFrame:
-    """One read-only query, with at most `limit` rows (1 to 200).
+def guarded_sql(
+    spark: SparkSession, sql: str, limit: int = 50, spent: float = 0.0, log_path: str | None = None,
+    at: dt.datetime | None = None, budget: float = DAILY_BUDGET,
+) -> DataFrame:
+    """One read-only query, with at most `limit` rows (1 to 200) and `more_exist`, which tells whether there are others.
 
     The text is put inside a SELECT, where Spark's parser takes a query and nothing else: no write, no
-    command, no second statement. The plan is analysed, not run, to see which partitions it would read.
+    command, no second statement. The plan is analysed, not run, to see which partitions it would read. With
+    `log_path` what the day's queries have cost is taken from that table, the query is refused if the files it would
+    read go over the budget, and recorded there with their bytes if not.
     """
     text = (sql or "").strip().rstrip(";")
     if not text:
         raise QueryRefused("give a SELECT statement")
-    if spent >= DAILY_BUDGET:
-        raise QueryRefused(f"the daily budget of ${DAILY_BUDGET:.2f} is used up")
+    at = at or dt.datetime.now()
+    spent += spent_on(spark, log_path, at.date()) if log_path else 0.0
+    if spent >= budget:
+        raise QueryRefused(f"the daily budget of ${budget:.2f} is used up")
     rows = max(1, min(int(limit or 50), MAX_SQL_ROWS))
     try:
-        result = spark.sql(f"SELECT * FROM (\n{text}\n) AS guarded LIMIT {rows}")
+        result = spark.sql(f"SELECT * FROM (\n{text}\n) AS guarded LIMIT {rows + 1}")
     except ParseException as error:
         raise QueryRefused("only one SELECT statement is allowed") from error
     whole = unpruned_tables(result)
@@ -80,7 +106,21 @@ def guarded_sql(spark: SparkSession, sql: str, limit: int = 50, spent: float = 0
         raise QueryRefused(f"filter on the partition columns of {', '.join(whole)}")
     if reads_whole_table(text):
         raise QueryRefused("a bare SELECT * reads whole files: add a LIMIT or aggregate")
-    return result
+    if log_path:
+        size = bytes_to_scan(result)
+        cost = spark.range(1).select(scan_cost(F.lit(size)).alias("cost")).first().cost
+        if spent + cost > budget:
+            raise QueryRefused(f"the query would read {size:,} bytes, ${cost:.2f}; ${budget - spent:.2f} of the day are left")
+        record_query(spark, log_path, text, size, at)
+    return _cut(result, rows)
+
+
+def _cut(result: DataFrame, rows: int) -> DataFrame:
+    """The first rows of at most rows + 1, in the order they come, and whether there was another."""
+    place = f"_place_{uuid.uuid4().hex}"
+    placed = result.coalesce(1).withColumn(place, F.monotonically_increasing_id())
+    placed = placed.withColumn("more_exist", F.count(F.lit(1)).over(W.partitionBy()) > rows)
+    return placed.where(F.col(place) < rows).drop(place)
 
 
 def audit(log: DataFrame, column: str = "sql") -> DataFrame:

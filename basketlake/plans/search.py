@@ -72,7 +72,7 @@ def _grouped(rows: DataFrame, key: str, limit: int) -> DataFrame:
     return ranked_list(groups, [F.desc("revenue"), F.col("grp")], limit).select(
         "position", "grp", "item_desc", "department_name", "category_name", "barcodes", "baskets", *MONEY,
         ratio(F.col("_price"), F.col("_lines")).alias("avg_price"),
-        ratio(F.col("margin"), F.col("revenue"), 100.0).alias("margin_pct"),
+        ratio(F.col("margin"), F.col("revenue"), 100.0).alias("margin_pct"), "more_exist",
     )
 
 
@@ -135,7 +135,7 @@ def search_barcode_catalogue(
     listed = ranked_list(full, [F.desc("revenue"), F.col("item_id")], limit)
     return listed.select(
         "position", "item_id", "item_desc", "department_name", "category_name",
-        F.col("unit_price").cast("double").alias("unit_price"), *MONEY, "baskets",
+        F.col("unit_price").cast("double").alias("unit_price"), *MONEY, "baskets", "more_exist",
     )
 
 
@@ -147,5 +147,6 @@ def search_not_sold(lake: Lake, query: str, period: str = "last_30_days", limit:
     idle = items.withColumn("code", item_code()).join(sold.distinct(), "code", "left_anti")
     listed = ranked_list(idle, [F.col("item_id")], limit)
     return listed.select(
-        "position", "item_id", "item_desc", "department_name", F.col("unit_price").cast("double").alias("unit_price")
+        "position", "item_id", "item_desc", "department_name", F.col("unit_price").cast("double").alias("unit_price"),
+        "more_exist",
     )

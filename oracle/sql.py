@@ -418,7 +418,7 @@ def _listing(where: str, key: str = "product_key", limit: int = 25) -> str:
 WITH g AS (SELECT {key} AS grp, min(item_desc) AS item_desc, min(department_name) AS department_name, min(category_name) AS category_name,
                   count(DISTINCT item_id) AS barcodes, count(DISTINCT transaction_id) AS baskets, {_RUM},
                   {share('sum(unit_price)', 'count(*)', '')} AS avg_price, {_MPCT} FROM sold WHERE {where} GROUP BY {key})
-SELECT CAST(row_number() OVER (ORDER BY revenue DESC, grp) AS INT) AS position, * FROM g QUALIFY position <= {limit}"""
+SELECT CAST(row_number() OVER (ORDER BY revenue DESC, grp) AS INT) AS position, *, count(*) OVER () > {limit} AS more_exist FROM g QUALIFY position <= {limit}"""
 
 
 _OLD = "contains(upper(item_desc), 'OLD') AND contains(upper(item_desc), 'WIDGET')"
@@ -431,11 +431,11 @@ oracle("search_barcode_catalogue", f"""
 WITH s AS (SELECT {_PAD} AS code, {_RUM}, count(DISTINCT transaction_id) AS baskets FROM recent GROUP BY ALL)
 SELECT CAST(row_number() OVER (ORDER BY coalesce(revenue, 0) DESC, item_id) AS INT) AS position, item_id, item_desc, department_name, category_name,
        {d('unit_price')} AS unit_price, coalesce(revenue, 0) AS revenue, coalesce(units, 0) AS units, coalesce(margin, 0) AS margin,
-       coalesce(baskets, 0) AS baskets FROM master LEFT JOIN s ON s.code = item_id WHERE {_CODE} QUALIFY position <= 25""")
+       coalesce(baskets, 0) AS baskets, count(*) OVER () > 25 AS more_exist FROM master LEFT JOIN s ON s.code = item_id WHERE {_CODE} QUALIFY position <= 25""")
 oracle("search_relaxed", f"SELECT *, 2 AS terms_used FROM ({_listing(_OLD.replace('OLD', 'SMALL'))})")
 oracle("search_not_sold", f"""
-SELECT CAST(row_number() OVER (ORDER BY item_id) AS INT) AS position, item_id, item_desc, department_name, {d('unit_price')} AS unit_price
-  FROM idle WHERE unsold = 1 AND contains(item_desc, 'ANVIL') QUALIFY position <= 10""")
+SELECT CAST(row_number() OVER (ORDER BY item_id) AS INT) AS position, item_id, item_desc, department_name, {d('unit_price')} AS unit_price,
+       count(*) OVER () > 10 AS more_exist FROM idle WHERE unsold = 1 AND contains(item_desc, 'ANVIL') QUALIFY position <= 10""")
 
 # --- recipes -------------------------------------------------------------------------------------
 
@@ -621,7 +621,9 @@ SELECT *, {_COST.format('bytes')} AS dollars, 5e0 - {_COST.format('bytes')} AS b
 oracle("budget_breach", f"""
 WITH r AS (SELECT *, CAST(ts AS DATE) AS day, coalesce(sum(bytes) OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, query_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM log)
 SELECT day, min(ts) AS first_refused_at, count(*) AS refused, CAST(sum(bytes) AS BIGINT) AS refused_bytes FROM r WHERE {_COST.format('before')} >= 0.05 GROUP BY day""")
-oracle("guarded_sql", f"SELECT store_name, CAST(year(sale_date) AS INT) AS year, {d('sum(revenue)')} AS revenue FROM sold GROUP BY ALL")
+oracle("guarded_sql", f"SELECT store_name, CAST(year(sale_date) AS INT) AS year, {d('sum(revenue)')} AS revenue, false AS more_exist FROM sold GROUP BY ALL")
+# The years of the stored table, the whole of it, and the one refused: bytes of the files add up.
+oracle("guard_log", "SELECT DATE '2001-08-01' AS day, count(DISTINCT year(sale_date)) + 1 AS queries, true AS adds_up, 1 AS refused FROM detail")
 
 CTES["texts"] = "SELECT 'documents/' || doc_id AS place, text FROM documents UNION ALL SELECT 'pages/' || page_id, html FROM pages"
 

@@ -631,6 +631,32 @@ def guarded_sql(spark, sf):
     )
 
 
+@query
+def guard_log(spark, sf):
+    """A question per year and one over all years, each recorded with the bytes it reads, and one that goes over budget."""
+    path, log = work_dir(spark, "guarded"), work_dir(spark, "query-log")
+    sinks.write_table(rollups.dept_rollup(sample.stored_detail(spark, sf)), path, "sale_date")
+    table = sinks.read_table(spark, path)
+    table.createOrReplaceTempView("guarded_years")
+    at = dt.datetime(2001, 8, 1, 9)
+    ask = "SELECT store_name, SUM(revenue) AS revenue FROM guarded_years WHERE {} GROUP BY store_name"
+    years = sorted(r.year for r in table.select("year").distinct().toLocalIterator())
+    for year in years:
+        guard.guarded_sql(spark, ask.format(f"year = {year}"), log_path=log, at=at)
+    refused = 0
+    for budget in (guard.DAILY_BUDGET, 1e-12):
+        try:
+            guard.guarded_sql(spark, ask.format("year > 0"), log_path=log, at=at, budget=budget)
+        except guard.QueryRefused:
+            refused += 1
+    recorded = spark.read.schema(guard.LOG_SCHEMA).parquet(log)
+    whole = F.sum(F.when(F.col("sql").contains("year > 0"), F.col("bytes")))
+    halves = recorded.groupBy(F.to_date("ts").alias("day")).agg(whole.alias("_whole"))
+    return guard.spend_daily(recorded).join(halves, "day").select(
+        "day", "queries", ((F.col("bytes") == 2 * F.col("_whole")) & (F.col("bytes") > 0)).alias("adds_up"), F.lit(refused).alias("refused")
+    )
+
+
 @query
 def secret_scan(spark, sf):
     return textscan.scan(sample.scan_texts(spark, sf))
