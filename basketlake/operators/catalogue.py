@@ -106,7 +106,7 @@ def category_votes(rows: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("votes"), F.min("ord").alias("first_seen"))
     )
     return votes.groupBy("dept4").agg(
-        F.max_by("category", F.struct("votes", -F.col("first_seen"))).alias("voted_category")
+        F.min_by("category", F.struct(-F.col("votes"), "first_seen")).alias("voted_category")
     )
 
 

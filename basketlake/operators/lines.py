@@ -216,7 +216,7 @@ def subdepartment_votes(master: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("votes"), F.min("ord").alias("first_seen"))
     )
     return votes.groupBy("subdepartment").agg(
-        F.max_by("department_code", F.struct("votes", -F.col("first_seen"))).alias("department_code"),
+        F.min_by("department_code", F.struct(-F.col("votes"), "first_seen")).alias("department_code"),
         F.max("votes").alias("votes"),
     )
 

@@ -150,3 +150,26 @@ def search_not_sold(lake: Lake, query: str, period: str = "last_30_days", limit:
         "position", "item_id", "item_desc", "department_name", F.col("unit_price").cast("double").alias("unit_price"),
         "more_exist",
     )
+
+
+def search(
+    lake: Lake, query: str, period: str = "last_30_days", limit: int = 25, store_id: str | None = None, idle: int = 10
+) -> DataFrame:
+    """One answer to whatever was typed: a barcode, or words.
+
+    A barcode lists the catalogue items it stands for with their sales, zeros for those that did not sell. Words list
+    the products sold, fewer words where not all are found, and then carried items that match and did not sell.
+    `found` tells which: barcode, sold, not_sold. `code` is a barcode or, for products sold, a product.
+    """
+    empty = {"revenue": F.lit(0.0), "units": F.lit(0.0), "margin": F.lit(0.0), "baskets": F.lit(0).cast("long"), "terms_used": F.lit(0)}
+
+    def shaped(rows: DataFrame, found: str, code: str) -> DataFrame:
+        measures = [(F.col(n) if n in rows.columns else default).alias(n) for n, default in empty.items()]
+        return rows.select(
+            F.lit(found).alias("found"), "position", F.col(code).alias("code"), "item_desc", "department_name", *measures, "more_exist"
+        )
+
+    if query_barcode(query):
+        return shaped(search_barcode_catalogue(lake, query, period, store_id, limit), "barcode", "item_id")
+    sold = shaped(search_relaxed(lake, query, period, limit, store_id), "sold", "grp")
+    return sold.unionByName(shaped(search_not_sold(lake, query, period, idle), "not_sold", "item_id"))

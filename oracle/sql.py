@@ -427,15 +427,31 @@ oracle("search_by_barcode_group", _listing(_OLD, "item_id"))
 oracle("search_totals", f"SELECT count(DISTINCT product_key) AS products, {_RUM}, count(DISTINCT item_id) AS barcodes FROM sold WHERE {_OLD}")
 _CODE = "(ltrim(item_id, '0') = '123' OR ends_with(item_id, '123'))"
 oracle("search_barcode", f"SELECT item_id, min(item_desc) AS item_desc, min(department_name) AS department_name, {_RUM}, {_MPCT} FROM sold WHERE {_CODE} GROUP BY item_id")
-oracle("search_barcode_catalogue", f"""
+_BY_CODE = f"""
 WITH s AS (SELECT {_PAD} AS code, {_RUM}, count(DISTINCT transaction_id) AS baskets FROM recent GROUP BY ALL)
 SELECT CAST(row_number() OVER (ORDER BY coalesce(revenue, 0) DESC, item_id) AS INT) AS position, item_id, item_desc, department_name, category_name,
        {d('unit_price')} AS unit_price, coalesce(revenue, 0) AS revenue, coalesce(units, 0) AS units, coalesce(margin, 0) AS margin,
-       coalesce(baskets, 0) AS baskets, count(*) OVER () > 25 AS more_exist FROM master LEFT JOIN s ON s.code = item_id WHERE {_CODE} QUALIFY position <= 25""")
+       coalesce(baskets, 0) AS baskets, count(*) OVER () > 25 AS more_exist FROM master LEFT JOIN s ON s.code = item_id WHERE {_CODE} QUALIFY position <= 25"""
+oracle("search_barcode_catalogue", _BY_CODE)
 oracle("search_relaxed", f"SELECT *, 2 AS terms_used FROM ({_listing(_OLD.replace('OLD', 'SMALL'))})")
-oracle("search_not_sold", f"""
+_UNSOLD_ANVILS = f"""
 SELECT CAST(row_number() OVER (ORDER BY item_id) AS INT) AS position, item_id, item_desc, department_name, {d('unit_price')} AS unit_price,
-       count(*) OVER () > 10 AS more_exist FROM idle WHERE unsold = 1 AND contains(item_desc, 'ANVIL') QUALIFY position <= 10""")
+       count(*) OVER () > 10 AS more_exist FROM idle WHERE unsold = 1 AND contains(item_desc, 'ANVIL') QUALIFY position <= 10"""
+oracle("search_not_sold", _UNSOLD_ANVILS)
+
+
+def _found(kind: str, listing: str, code: str, measures: bool, terms: int = 0) -> str:
+    sums = "revenue, units, margin, baskets" if measures else "0e0 AS revenue, 0e0 AS units, 0e0 AS margin, 0 AS baskets"
+    return (
+        f"SELECT '{kind}' AS found, position, {code} AS code, item_desc, department_name, {sums}, {terms} AS terms_used, more_exist "
+        f"FROM ({listing})"
+    )
+
+
+_ANVIL = _listing("contains(upper(item_desc), 'ANVIL')").replace("FROM sold", "FROM recent")
+oracle("search_words", _found("sold", _listing(_OLD.replace("OLD", "SMALL")), "grp", True, 2))
+oracle("search_code", _found("barcode", _BY_CODE, "item_id", True))
+oracle("search_idle", _found("sold", _ANVIL, "grp", True, 1) + " UNION ALL " + _found("not_sold", _UNSOLD_ANVILS, "item_id", False))
 
 # --- recipes -------------------------------------------------------------------------------------
 
@@ -542,11 +558,15 @@ _BOOK_NAMES = {
     32: "Beer", 33: "Bottle Deposit", 34: "Gift", 35: "Online Fees", 40: "Garden",
 }
 _DEPT_NAME = "CASE department_code " + " ".join(f"WHEN '{c}' THEN {quoted(n)}" for c, n in _BOOK_NAMES.items()) + " ELSE 'Dept ' || department_code END"
-oracle("item_master_build", f"""
+_ITEM_BUILD = f"""
 SELECT item_id, upc, left(description, 60) AS item_desc, {_product_key('description')} AS product_key,
        coalesce(nullif(left(register_text, 22), ''), left(description, 22)) AS pos_desc, department_code, {_DEPT_NAME} AS department_name,
        coalesce(nullif(sub_category, ''), '0') AS category_code, coalesce(nullif(category, ''), 'Uncategorized') AS category_name, brand, vendor,
-       unit_price, food_stamp, wic, {_season("upper(description || ' ' || category)", 'upper(category)')} AS season FROM built""")
+       unit_price, food_stamp, wic, {_season("upper(description || ' ' || category)", 'upper(category)')} AS season FROM built"""
+oracle("item_master_build", _ITEM_BUILD)
+oracle("item_master_from_files", _ITEM_BUILD)
+oracle("query_kinds", "SELECT item_id AS asked, true AS is_barcode FROM master UNION SELECT item_desc, false FROM master UNION SELECT 'no ' || item_id, false FROM master")
+oracle("detail_from_item_files", f"SELECT department_name, transaction_type, {_BY_TYPE} FROM detail GROUP BY ALL")
 oracle("item_master", f"SELECT department_code, count(*) AS items, {d('sum(CAST(unit_price AS DECIMAL(18,2)))')} AS price_sum FROM built GROUP BY department_code")
 oracle("catalogue_summary", f"""
 WITH p AS (SELECT {_product_key('description')} AS k, count(*) AS n FROM built GROUP BY k)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from basketlake.functions import dates, flags, numbers, text
 from basketlake.operators import catalogue, guard, lines, movement, reconcile, resolve, rollups, textscan
 from basketlake.plans import nightly, recipes, reports, search
+from basketlake.schemas import ITEM_MASTER
 from basketlake.session import stored, work_dir
 from basketlake.sources import dims, raw_log, sample, sinks, versions
 from basketlake.streaming import jobs
@@ -488,6 +489,10 @@ report("search_barcode_catalogue", search.search_barcode_catalogue, "000-00123",
 report("search_relaxed", search.search_relaxed, "small widgets zz", ALL)
 report("search_not_sold", search.search_not_sold, "anvils", "last_90_days")
 
+report("search_words", search.search, "small widgets zz", ALL)
+report("search_code", search.search, "000-00123", "last_90_days")
+report("search_idle", search.search, "anvils", "last_90_days", idle=10)
+
 report("dept_growth_qoq", recipes.dept_growth_qoq)
 report("dept_yoy_trend", recipes.dept_yoy_trend)
 report("monthly_revenue", recipes.monthly_revenue, 18)
@@ -515,6 +520,42 @@ def item_master_build(spark, sf):
     return built_items(spark, sf).drop("ord", "recovered", "unit_cost", "margin_pct", "cost_source")
 
 
+@query
+def item_master_from_files(spark, sf):
+    """The same from a price book export of two files, in the order of the files."""
+    path, book = work_dir(spark, "price-book"), sample.price_book(spark, sf)
+    columns = [c for c in book.columns if c != "ord"]
+    halves = book.repartitionByRange(2, "ord").sortWithinPartitions("ord").select(*columns)
+    halves.write.options(header=True, escape='"', emptyValue="").csv(path)
+    items = catalogue.build_items(dims.read_price_book(spark, path, columns))
+    return items.drop("ord", "recovered", "unit_cost", "margin_pct", "cost_source")
+
+
+@query
+def detail_from_item_files(spark, sf):
+    """Sales by department with an item master read from two files of which the second corrects the first."""
+    path, master = work_dir(spark, "item-master"), sample.item_master(spark, sf)
+    wrong = master.withColumn("department_name", F.lit("OLD"))
+    names = [f.name for f in ITEM_MASTER.fields]
+    kinds = {f.name: f.dataType for f in ITEM_MASTER.fields}
+    for number, rows in enumerate((wrong, master)):
+        full = rows.select(*[(F.col(n) if n in rows.columns else F.lit(None)).cast(kinds[n]).alias(n) for n in names])
+        full.write.options(header=True, escape='"', emptyValue="").csv(f"{path}/{number}")
+    items = dims.read_item_master(spark, [f"{path}/0", f"{path}/1"])
+    items = items.withColumns({"unit_price": F.col("unit_price").cast("decimal(18,2)"), "unit_cost": F.col("unit_cost").cast("decimal(18,4)")})
+    return lines.enrich(sample.pos_items(spark, sf), items).groupBy("department_name", "transaction_type").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("extended_price").cast("double").alias("revenue")
+    )
+
+
+@query
+def query_kinds(spark, sf):
+    """Which descriptions and barcodes of the catalogue a search would take for a barcode."""
+    items = sample.item_master(spark, sf)
+    asked = items.select(F.explode(F.array("item_id", "item_desc", F.concat(F.lit("no "), "item_id"))).alias("asked"))
+    return asked.select("asked", text.is_barcode_query(F.col("asked")).alias("is_barcode")).distinct()
+
+
 @query
 def pricebook_skips(spark, sf):
     return catalogue.skip_counts(catalogue.with_skip_reason(catalogue.clean(sample.price_book(spark, sf))))
