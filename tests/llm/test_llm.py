@@ -182,6 +182,25 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark, monkeypatch):
+    """Only a query's own row is no candidate: other rows with its id are, and each query row is one of its own."""
+    for name, n in (("BLOCK_ROWS", 16), ("QUERY_ROWS", 4), ("SEEDS", 30)):
+        monkeypatch.setattr(topk, name, n)
+    rng = np.random.default_rng(3)
+    rows = [(i % 60, rng.integers(-3, 4, size=5).astype(float).tolist()) for i in range(150)]
+    rows += [(50, [9.0] * 5), (50, [9.0] * 5), (50, [9.0] * 5), (50, [-9.0] * 5), (7, [9.0] * 5), (0, [9.0] * 5), (0, [0.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, df.where("vec_id % 50 = 0")).collect()))
+    expected = []
+    for n, (own, q) in enumerate(rows):
+        if own % 50 == 0:
+            scores = sorted((-sum(int(256 * x) * int(256 * y) for x, y in zip(q, v, strict=True)), i) for m, (i, v) in enumerate(rows) if m != n)
+            expected += [(own, rank, i, -s) for rank, (s, i) in enumerate(scores[:5], 1)]
+    assert got == sorted(expected)
+    few = spark.createDataFrame(rows[-7:-4], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(few, few).collect())) == sorted((50, r, 50, 5 * 2304**2) for r in (1, 2) for _ in range(3))
+
+
 def test_shards(spark, odd, none):
     docs = spark.createDataFrame(rows_of([(i, "hot text " * 20 if i % 3 == 0 else f"text {i} " * (i % 50)) for i in range(3000)]), DOCS)
     got = sharding.assigned(docs, 7).collect()
