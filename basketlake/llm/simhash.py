@@ -123,7 +123,7 @@ def op1(spark, sf_dir: str) -> DataFrame:
     return classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-# Near-duplicates by similarity: shared prefixes of shingle sets propose, whole sets decide.
+# Near-duplicates by similarity: fingerprints, then shared prefixes of shingle sets, propose, whole sets decide.
 
 
 def shingle_hashes(text: str | None, k: int) -> np.ndarray:
@@ -420,21 +420,45 @@ def similar_pairs(docs: DataFrame, pairs: DataFrame, k: int, least: float) -> Da
     return met
 
 
+def print_pairs(docs: DataFrame) -> DataFrame:
+    """(a, b): text ids that the method links, by 64-bit fingerprints that differ in 3 bits or fewer.
+
+    Texts of one fingerprint are paired with the one of them that stands for it, and those that stand for linked
+    fingerprints with each other, so the pairs join what the links do. They are proposals; whole sets decide.
+    """
+    text = F.coalesce("text", F.lit(""))
+    prints = stored(
+        docs.select(F.xxhash64(F.md5(text)).alias("id"), fingerprint(F.col("text"))[0].alias("fp")).distinct(), "near-prints"
+    )
+    firsts = stored(prints.groupBy("fp").agg(F.min("id").alias("first"), F.max("id").alias("last")), "near-firsts")
+    same = prints.join(firsts.where("first != last"), "fp").where("id != first").select("id", F.col("first").alias("other"))
+    ends = firsts.select("fp", "first")
+    across = near_links(firsts)
+    for end, name in (("a", "id"), ("b", "other")):
+        across = across.join(ends.select(F.col("fp").alias(end), F.col("first").alias(name)), end)
+    pairs = stored(_pairs(same.union(across.select("id", "other"))), "near-print-pairs")
+    discard(prints, firsts)
+    return pairs
+
+
 def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     """(text_key, doc_id, rows, keeper_key, keeper_id) of every text that has copies or near copies.
 
     text_key is the text's MD5, doc_id its smallest doc_id, rows its number of rows. Texts are near copies where their
     sets of k-word shingles have a Jaccard similarity of at least `least`; groups are what such links connect, and the
-    keeper is the text with the smallest doc_id (then key). Every such pair shares a shingle of both prefixes (prefix
-    filter), so no pair is missed; the sets decide. Early pairs are compared first; of the others those whose ends are
-    not in one group by then, which changes no group. Null counts as the empty text.
+    keeper is the text with the smallest doc_id (then key). SimHash proposes pairs first, and the sets decide. For the
+    near copies whose fingerprints lie apart a prefix filter follows: every pair that is similar enough shares a shingle
+    of both prefixes, so none is missed. Early pairs are compared first; of the others those whose ends are not in one
+    group by then, which changes no group. Null counts as the empty text.
     """
     text = F.coalesce("text", F.lit(""))
     unique = stored(
         docs.select("doc_id", F.md5(text).alias("text_key")).groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("rows")), "near-unique"
     )
+    proposed = print_pairs(docs)
     held = members(docs, k, least)
-    early = stored(early_pairs(held, least), "near-early")
+    early = stored(early_pairs(held, least).union(proposed).distinct(), "near-early")
+    discard(proposed)
     near = stored(components(similar_pairs(docs, early, k, least), "u", "v", "near-step"), "near-roots")
     discard(early)
     of = near.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))

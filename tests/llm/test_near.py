@@ -100,3 +100,18 @@ def test_near_copies_around_the_bound(spark, monkeypatch):
 def test_wordless_and_short_texts(spark):
     texts = ["", " \n", "\t", "a b", "A  B", "a b c", "a", "a"]
     assert kept(spark, texts) == {0, 3, 5, 6}
+
+
+def test_simhash_proposes_before_prefixes(spark, monkeypatch):
+    """Copies with one word changed in 700 are linked by fingerprints alone; an unlike text is not."""
+    rnd = random.Random(9)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(700)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(words[::-1]), " ".join(words)]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(simhash, "members", lambda docs, k, least: no_members(spark))
+    got = {r.doc_id for r in simhash.deduplicated(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {0, 2}
+
+
+def no_members(spark):
+    return simhash.stored(spark.createDataFrame([], "key long, id long, size int, reach int"), "none")
