@@ -1,6 +1,10 @@
 """Samples that models learn from count texts, not their copies."""
 
-from basketlake.llm import common, language, quality, toxicity
+import os
+
+import public_tokenizers
+
+from basketlake.llm import common, language, packing, quality, toxicity
 
 
 def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
@@ -32,3 +36,12 @@ def test_samples_of_both_models_are_bounded(spark, monkeypatch):
     toxicity.fitted(docs, labels, 100)
     quality.fitted(docs, labels, 100)
     assert seen == [100, 100]
+
+
+def test_short_texts_load_one_tokenizer():
+    """Texts of usual length need `tiktoken` only; the other library is loaded for the first long one."""
+    folder = os.path.dirname(public_tokenizers.path(f"{packing.VOCABULARY}.json"))
+    packing._whole_text_encoder.cache_clear()
+    short = packing.token_ids("two words", folder)
+    assert packing._whole_text_encoder.cache_info().currsize == 0
+    assert list(packing._whole_text_encoder(folder, packing.VOCABULARY).encode("two words", add_special_tokens=False).ids) == list(short)
