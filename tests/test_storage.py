@@ -4,7 +4,7 @@ import os
 import shutil
 
 import workload
-from basketlake.operators import baskets
+from basketlake.operators import baskets, rows
 from basketlake.operators.rollups import dept_rollup, item_rollup
 from basketlake.plans import reports
 from basketlake.session import stored
@@ -65,3 +65,26 @@ def test_checks_read_one_stored_detail(spark):
     for name in ("check_partition", "reconcile", "verify_totals"):
         checked = plan(workload.QUERIES[name](spark, SF))
         assert checked.count("l_linenumber") == plan(workload.parsed_log(spark, SF)).count("l_linenumber") * (name != "check_partition")
+
+
+def test_texts_of_whole_lines_travel_as_one_column(spark):
+    """To a large item master, and to their months."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        detail = plan(sample.detail(spark, SF, whole=True))
+        assert rows.TEXTS in detail and rows.TEXTS not in plan(sample.detail(spark, SF))
+        whole, narrow = (set(map(tuple, sample.detail(spark, SF, whole=w).collect())) for w in (True, False))
+        assert whole == narrow
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_texts_come_out_of_a_shuffle_as_they_were(spark):
+    texts = ["", None, "a", "\u0001", "\u0002", "\u0002n", "\u0002s\u0001", "\n,\"\r", "\u00e9"]
+    given = [(i, x, y, texts[i % 3]) for i, (x, y) in enumerate((x, y) for x in texts for y in texts)]
+    table = spark.createDataFrame(given, "no int, x string, y string, z string")
+    seen = []
+    back = rows.light(table, lambda r: (seen.append(r.columns), r.repartition(3))[1], ("z",))
+    assert back.columns == table.columns and sorted(map(tuple, back.collect()), key=lambda r: r[0]) == given
+    assert seen == [["no", "z", rows.TEXTS]]
