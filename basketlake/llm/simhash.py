@@ -299,6 +299,8 @@ def candidates(prints: DataFrame, key: str, fps: str) -> DataFrame:
 
 #: Bits of a fingerprint, and members of a bucket that all others of it are compared with in the first pass.
 BITS, EARLY = 40, 2
+#: So many times at most members of a bucket meet early ones of other groups, before all pairs of different groups do.
+TURNS = 2
 #: The count of a histogram that stands for itself and any larger one.
 FULL = 255
 #: So many ids are broadcast, 8 bytes each.
@@ -349,14 +351,23 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct()
 
 
-def early_pairs(held: DataFrame, least: float) -> DataFrame:
-    """(a, b): every member of a bucket with EARLY members of it, the first by as many hashes."""
-    firsts = [F.min_by(F.struct("id", "size", "reach"), F.xxhash64("id", F.lit(j))) for j in range(EARLY)]
+def early_pairs(held: DataFrame, least: float, groups: DataFrame | None = None, turn: int = 0) -> DataFrame:
+    """(a, b): every member of a bucket with EARLY members of it, the first by as many hashes, others each turn.
+
+    With groups (id, root) only the members of other groups than theirs.
+    """
+    firsts = [F.min_by(F.struct("id", "size", "reach", "root"), F.xxhash64("id", F.lit(turn * EARLY + j))) for j in range(EARLY)]
     if not firsts:
         return _pairs(held.limit(0).withColumn("other", F.col("id")))
-    hubs = held.groupBy("key").agg(F.array_distinct(F.array(*firsts)).alias("hubs"))
-    met = held.join(hubs, "key").select("id", "size", "reach", F.explode("hubs").alias("h"))
-    return _pairs(met.where(F.col("id") != F.col("h.id")).where(_may(F.col("size"), F.col("reach"), F.col("h.size"), F.col("h.reach"), least)).withColumn("other", F.col("h.id")))
+    placed = held.withColumn("root", F.col("id")) if groups is None else _placed(held, groups)
+    hubs = placed.groupBy("key").agg(F.array_distinct(F.array(*firsts)).alias("hubs"))
+    met = placed.join(hubs, "key").select("id", "size", "reach", "root", F.explode("hubs").alias("h"))
+    return _pairs(met.where(F.col("root") != F.col("h.root")).where(_may(F.col("size"), F.col("reach"), F.col("h.size"), F.col("h.reach"), least)).withColumn("other", F.col("h.id")))
+
+
+def _placed(held: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members with the root of their group; a text without one is its own."""
+    return held.join(groups, "id", "left").select("key", "id", "size", "reach", F.coalesce("root", "id").alias("root"))
 
 
 def late_pairs(held: DataFrame, groups: DataFrame, least: float) -> DataFrame:
@@ -364,7 +375,7 @@ def late_pairs(held: DataFrame, groups: DataFrame, least: float) -> DataFrame:
 
     Pairs within the largest group of a bucket are never made: the others' members meet all members.
     """
-    placed = stored(held.join(groups, "id", "left").select("key", "id", "size", "reach", F.coalesce("root", "id").alias("root")), "near-placed")
+    placed = stored(_placed(held, groups), "near-placed")
     counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
     few = placed.join(main.select("key", "main"), "key").where("root != main").alias("x")
@@ -448,8 +459,8 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     sets of k-word shingles have a Jaccard similarity of at least `least`; groups are what such links connect, and the
     keeper is the text with the smallest doc_id (then key). SimHash proposes pairs first, and the sets decide. For the
     near copies whose fingerprints lie apart a prefix filter follows: every pair that is similar enough shares a shingle
-    of both prefixes, so none is missed. Early pairs are compared first; of the others those whose ends are not in one
-    group by then, which changes no group. Null counts as the empty text.
+    of both prefixes, so none is missed. Early pairs are compared first, in TURNS more turns those of different groups;
+    of the others those whose ends are not in one group by then, which changes no group. Null counts as the empty text.
     """
     text = F.coalesce("text", F.lit(""))
     unique = stored(
@@ -459,14 +470,16 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     held = members(docs, k, least)
     early = stored(early_pairs(held, least).union(proposed).distinct(), "near-early")
     discard(proposed)
-    near = stored(components(similar_pairs(docs, early, k, least), "u", "v", "near-step"), "near-roots")
+    roots = stored(components(similar_pairs(docs, early, k, least), "u", "v", "near-step"), "near-roots")
     discard(early)
-    of = near.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
-    late = stored(late_pairs(held, of, least), "near-pairs")
+    for turn in range(1, TURNS + 2):
+        of = roots.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
+        last = turn > TURNS
+        pairs = stored(late_pairs(held, of, least) if last else early_pairs(held, least, of, turn), "near-pairs")
+        found = stored(similar_pairs(docs, pairs, k, least), "near-late")
+        discard(pairs)
+        roots = stored(joined_roots(roots, found), "near-all-roots")
     discard(held)
-    found = stored(similar_pairs(docs, late, k, least), "near-late")
-    discard(late)
-    roots = stored(joined_roots(near, found), "near-all-roots")
     grouped = unique.join(roots.withColumnRenamed("node", "text_key"), "text_key", "left").where("root is not null or rows > 1")
     grouped = grouped.select("text_key", "doc_id", "rows", F.coalesce("root", "text_key").alias("root"))
     keepers = grouped.groupBy("root").agg(

@@ -115,3 +115,12 @@ def test_simhash_proposes_before_prefixes(spark, monkeypatch):
 
 def no_members(spark):
     return simhash.stored(spark.createDataFrame([], "key long, id long, size int, reach int"), "none")
+
+
+def test_later_turns_compare_members_of_different_groups(spark):
+    """Every member of a smaller group meets members of the other one before all pairs are made."""
+    held = spark.createDataFrame([(1, i, 10, 10) for i in range(12)], "key long, id long, size int, reach int")
+    groups = spark.createDataFrame([(i, i // 6 * 6) for i in range(12)], "id long, root long")
+    for turn in (1, 2):
+        pairs = {(r.a, r.b) for r in simhash.early_pairs(held, 0.8, groups, turn).collect()}
+        assert pairs and len(pairs) <= 12 * simhash.EARLY and all(a // 6 != b // 6 for a, b in pairs)
