@@ -1,4 +1,4 @@
-"""Season tags: plain searches, with the results of the patterns before."""
+"""Season tags: plain searches, with the results of the patterns before; price books over many tasks."""
 
 import re
 
@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from basketlake.fixed_values import CATEGORY_SEASONS, SEASON_RULES
 from basketlake.functions import text
+from basketlake.operators import catalogue
+from basketlake.sources import sample
 
 
 def expected(description, category):
@@ -23,3 +25,9 @@ def test_tags_are_found_without_patterns(spark):
     tagged = spark.createDataFrame(given, "d string, c string").select("d", "c", text.season_tag(F.col("d"), F.col("c")).alias("s"))
     assert "RLIKE" not in tagged._jdf.queryExecution().executedPlan().toString().upper()
     assert [tuple(r) for r in tagged.collect()] == [(d, c, expected(d, c)) for d, c in given]
+
+
+def test_a_price_book_is_cleaned_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(catalogue, "stored", lambda rows, name: rows)
+    cleaned = catalogue.clean(sample.price_book(spark, "/root/testdata/sf0.001"))
+    assert "REPARTITION_BY_COL" in cleaned._jdf.queryExecution().executedPlan().toString()
