@@ -303,6 +303,8 @@ BITS, EARLY = 40, 2
 TURNS = 2
 #: The count of a histogram that stands for itself and any larger one.
 FULL = 255
+#: Bits of a set's parity, a power of two.
+PARITY_BITS = 512
 #: So many ids are broadcast, 8 bytes each.
 FEW = 1_000_000
 #: Texts from which common shingles are learned, how many of those must have one, and how many are told apart. They set
@@ -370,17 +372,51 @@ def _placed(held: DataFrame, groups: DataFrame) -> DataFrame:
     return held.join(groups, "id", "left").select("key", "id", "size", "reach", F.coalesce("root", "id").alias("root"))
 
 
-def late_pairs(held: DataFrame, groups: DataFrame, least: float) -> DataFrame:
-    """(a, b): all pairs of a bucket whose ends are in different groups (id, root); a text without one is its own.
+def parity(text: Column, k: int) -> Column:
+    """Whether an odd number of a text's distinct shingles falls in each of PARITY_BITS classes, as an array of longs.
 
-    Pairs within the largest group of a bucket are never made: the others' members meet all members.
+    A shingle that one of two sets has turns one bit at most, so two sets differ in as many shingles as their parities in
+    bits, or in more. The length does not grow with the text; beyond some 1,100 shingles little is told apart.
+    """
+
+    @F.arrow_udf("array<long>")
+    def bits(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts:
+            counts = np.bincount(shingle_hashes(t.as_py(), k) & (PARITY_BITS - 1), minlength=PARITY_BITS)
+            out.append(np.packbits((counts & 1).astype(np.uint8)).view(np.int64))
+        return pa.array(out, type=pa.list_(pa.int64()))
+
+    return bits(text)
+
+
+def _may_differ(x: str, y: str, least: float) -> Column:
+    """Whether the parities of two sets (size, odd) allow them to be similar enough: they may differ in 1 - least of their union."""
+    turned = sum((F.bit_count(F.col(f"{x}.odd")[i].bitwiseXOR(F.col(f"{y}.odd")[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    return turned * (1 + least) <= (1 - least) * (F.col(f"{x}.size") + F.col(f"{y}.size")) + 1e-6
+
+
+def late_pairs(docs: DataFrame, held: DataFrame, groups: DataFrame, k: int, least: float) -> DataFrame:
+    """(a, b): the pairs of a bucket whose ends are in different groups (id, root); a text without one is its own. Stored.
+
+    Pairs within the largest group of a bucket are never made: the others' members meet all members. Of those, only
+    pairs whose parities allow them to be similar come out of the join, so what follows does not grow with the square
+    of a bucket of unlike texts; none that is similar enough is lost.
     """
     placed = stored(_placed(held, groups), "near-placed")
     counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1")
-    few = placed.join(main.select("key", "main"), "key").where("root != main").alias("x")
-    both = few.join(placed.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _may(*(F.col(f"{s}.{c}") for s in "xy" for c in ("size", "reach")), least))
-    return _pairs(both.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")))
+    mixed_rows = stored(placed.join(main.select("key", "main"), "key"), "near-mixed")
+    ids = stored(mixed_rows.select("id").distinct(), "near-mixed-ids")
+    odd = stored(_rows_of(docs, ids).select("id", parity(F.col("text"), k).alias("odd")).distinct(), "near-parities")
+    # two texts of one id, should that ever be, have two rows here and both are met
+    rows = mixed_rows.join(odd, "id")
+    may = _may(*(F.col(f"{s}.{c}") for s in "xy" for c in ("size", "reach")), least) & _may_differ("x", "y", least)
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & may
+    both = rows.where("root != main").alias("x").join(rows.alias("y"), met)
+    pairs = stored(_pairs(both.select(F.col("x.id").alias("id"), F.col("y.id").alias("other"))), "near-pairs")
+    discard(placed, mixed_rows, ids, odd)
+    return pairs
 
 
 def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -395,23 +431,28 @@ def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
     return moved.select("node", F.coalesce("top", "root").alias("root")).union(new)
 
 
+def _rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text_key, text) of the rows whose text has one of these ids, a stored table. Up to FEW are broadcast; more are
+    joined behind the sieve, which lets their texts through where the table is read."""
+    text = F.coalesce("text", F.lit(""))
+    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), F.md5(text).alias("text_key"), text.alias("text"))
+    if ids.count() < FEW:
+        return keyed.join(F.broadcast(ids), "id", "left_semi")
+    hit = sieve(ids, F.col("id"))
+    return keyed.where(hit(F.col("id"))).join(ids, "id", "left_semi")
+
+
 def similar_pairs(docs: DataFrame, pairs: DataFrame, k: int, least: float) -> DataFrame:
     """(u, v): MD5s of the pairs (a, b) of text ids whose shingle sets are similar enough.
 
-    Sets are made of the texts that stand in a pair, once each. Up to FEW ids of those are broadcast; more are joined
-    behind the sieve, which lets their texts through where the table is read.
+    Sets are made of the texts that stand in a pair, once each.
     Pairs first meet with histograms of their sets, which bound what two sets can share from above; whole sets travel
     only with the pairs that stay.
     """
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.xxhash64(F.md5(text)).alias("id"), F.md5(text).alias("text_key"), text.alias("text"))
 
     def of_ends(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         ends = stored(rows.select(F.explode(F.array("a", "b")).alias("id")).distinct(), name)
-        if ends.count() < FEW:
-            return ends, keyed.join(F.broadcast(ends), "id", "left_semi")
-        hit = sieve(ends, F.col("id"))
-        return ends, keyed.where(hit(F.col("id"))).join(ends, "id", "left_semi")
+        return ends, _rows_of(docs, ends)
 
     ends, rows = of_ends(pairs, "near-ends")
     shown = rows.select("id", "text_key", text_histogram(F.col("text"), k).alias("h"))
@@ -475,7 +516,7 @@ def near_groups(docs: DataFrame, k: int = 5, least: float = 0.8) -> DataFrame:
     for turn in range(1, TURNS + 2):
         of = roots.select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
         last = turn > TURNS
-        pairs = stored(late_pairs(held, of, least) if last else early_pairs(held, least, of, turn), "near-pairs")
+        pairs = late_pairs(docs, held, of, k, least) if last else stored(early_pairs(held, least, of, turn), "near-pairs")
         found = stored(similar_pairs(docs, pairs, k, least), "near-late")
         discard(pairs)
         roots = stored(joined_roots(roots, found), "near-all-roots")

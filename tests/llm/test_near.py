@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlake.llm import simhash
 
@@ -124,3 +125,33 @@ def test_later_turns_compare_members_of_different_groups(spark):
     for turn in (1, 2):
         pairs = {(r.a, r.b) for r in simhash.early_pairs(held, 0.8, groups, turn).collect()}
         assert pairs and len(pairs) <= 12 * simhash.EARLY and all(a // 6 != b // 6 for a, b in pairs)
+
+
+def test_unlike_texts_of_one_bucket_do_not_all_become_pairs(spark, monkeypatch):
+    """150 texts with a passage in common, 20 of them with a near copy: the last turn proposes hardly more than those."""
+    rnd = random.Random(12)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join([*passage, *(f"x{i}.{j}" for j in range(60))]) for i in range(150)]
+    texts += [t.rsplit(" ", rnd.randrange(1, 9))[0] for t in texts[:20]]
+    monkeypatch.setattr(simhash, "COMMON_IN", 10**9)
+    monkeypatch.setattr(simhash, "TURNS", 0)
+    monkeypatch.setattr(simhash, "EARLY", 0)
+    monkeypatch.setattr(simhash, "print_pairs", lambda docs: simhash.stored(spark.createDataFrame([], "a long, b long"), "none"))
+    made, compare = [], simhash.similar_pairs
+    monkeypatch.setattr(simhash, "similar_pairs", lambda docs, pairs, k, least: made.append(pairs.count()) or compare(docs, pairs, k, least))
+    assert kept(spark, texts) == set(range(150))
+    assert 20 <= made[-1] <= 40
+
+
+def test_parities_of_similar_sets_always_pass(spark):
+    """Texts of 5 to 4,000 words at and above the bound: what parities say never excludes a similar pair."""
+    rnd = random.Random(13)
+    rows = []
+    for n in (5, 30, 100, 500, 1500, 4000):
+        for cut_to in (0.8, 0.81, 0.9, 1.0):
+            words = [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+            rows.append((" ".join(words), " ".join(words[: round(n * cut_to) or 1])))
+    df = spark.createDataFrame([(i, *r, len(shingled(r[0])), len(shingled(r[1])), alike(*map(shingled, r))) for i, r in enumerate(rows)], "i int, s string, t string, m int, n int, alike boolean")
+    sides = df.select("alike", *[F.struct(F.col(size).alias("size"), simhash.parity(F.col(text), 5).alias("odd")).alias(side) for side, text, size in (("x", "s", "m"), ("y", "t", "n"))])
+    got = sides.select("alike", simhash._may_differ("x", "y", 0.8).alias("may")).collect()
+    assert sum(r.alike for r in got) >= 15 and all(r.may for r in got if r.alike)
