@@ -3,6 +3,8 @@
 import os
 import shutil
 
+from pyspark.sql import functions as F
+
 import workload
 from basketlake.operators import baskets, rows
 from basketlake.operators.rollups import dept_rollup, item_rollup
@@ -88,3 +90,29 @@ def test_texts_come_out_of_a_shuffle_as_they_were(spark):
     back = rows.light(table, lambda r: (seen.append(r.columns), r.repartition(3))[1], ("z",))
     assert back.columns == table.columns and sorted(map(tuple, back.collect()), key=lambda r: r[0]) == given
     assert seen == [["no", "z", rows.TEXTS]]
+
+
+def test_tables_are_written_in_parts_of_whole_years(spark, tmp_path, monkeypatch):
+    """Shuffle files of one part only exist at a time; the tables are those of one part, with lines without a date, too."""
+    sf = shutil.copytree(SF, tmp_path / "sf")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    day = F.when(F.col("o_orderkey") % 50 != 0, F.col("o_orderdate"))
+    orders.withColumn("o_orderdate", day).coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "new"))
+    shutil.copy(next((tmp_path / "new").glob("*.parquet")), sf / "orders.parquet")
+    monkeypatch.setattr(sample, "PART_ROWS", 1)
+    parts, write = [], sinks.write_table
+    monkeypatch.setattr(sinks, "write_table", lambda df, path, *args, **options: parts.append((path, df)) or write(df, path, *args, **options))
+    detail = sample.stored_detail(spark, str(sf))
+    years = detail.select("year").distinct().count()
+    assert len(parts) == years >= 7
+    whole = sample.detail(spark, str(sf), whole=True)
+    kept = detail.select(*whole.columns)
+    assert kept.where("transaction_ts is null").count() > 0
+    assert kept.exceptAll(whole).count() == whole.exceptAll(kept).count() == 0
+    for name, build in (("rollup_item", item_rollup), ("rollup_dept", dept_rollup)):
+        before = len(parts)
+        rollup = sample.stored_rollup(spark, str(sf), name)
+        assert len(parts) - before == sample.ROLLUP_PARTS
+        once = build(detail, sample.stored_numbers(spark, str(sf)))
+        kept = rollup.select(*once.columns)
+        assert kept.exceptAll(once).count() == once.exceptAll(kept).count() == 0
