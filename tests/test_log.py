@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from basketlake.functions import numbers
 from basketlake.operators import lines, reconcile, rollups
 from basketlake.schemas import log_fields, log_schema
 from basketlake.sources.raw_log import read_log
@@ -126,3 +127,12 @@ def test_layout_is_checked():
     assert len(log_schema().fields) == 36
     with pytest.raises(ValueError):
         log_fields(frozenset({"APPENDTRNCD"}), expected=36)
+
+
+def test_rendered_amounts_need_no_patterns(spark):
+    """Amounts lose their trailing zeros without a regular expression, of which a line would run two dozen."""
+    amounts = ["0.00", "-0.10", "100.00", "10.50", "7561.63", "0.05", None]
+    frame = spark.createDataFrame([(a,) for a in amounts], "a string").select(F.col("a").cast("decimal(18,2)").alias("retail"))
+    assert [r.v for r in frame.select(numbers.plain_number(F.col("retail")).alias("v")).collect()] == ["0", "-0.1", "100", "10.5", "7561.63", "0.05", None]
+    plan = frame.select(lines.render(frame).alias("line"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "rlike" not in plan.lower()
