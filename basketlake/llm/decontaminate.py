@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlake.llm.automaton import SuffixAutomaton, covered, known_runs
-from basketlake.llm.common import guarded, TOKEN_TABLE, stored, table, token_words
+from basketlake.llm.common import guarded, TOKEN_TABLE, stored, table, token_words, trim_memory
 
 WINDOW, BLOCK_WORDS, LEAST_SHARE = 13, 50_000, 20
 HITS = "struct<n_words:long, starts:array<int>, ends:array<int>, items:array<string>>"
@@ -88,6 +88,7 @@ def _hits(text: Column, before: Column | None, items: list[tuple[str, str]], win
 
     @F.arrow_udf(HITS)
     def found(texts: pa.Array, *earlier: pa.Array) -> pa.Array:
+        trim_memory()
         matcher, out = _matcher(shared, window), []
         for i, t in enumerate(texts):
             words = token_words(t.as_py() or "")

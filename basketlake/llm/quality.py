@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import guarded, labelled_rows, long_hash, stored, table
+from basketlake.llm.common import guarded, labelled_rows, long_hash, stored, table, trim_memory
 
 BUCKETS, SAMPLE_ROWS, SMOOTHING, TEMPERATURE, REJECT_COST = 1 << 16, 20_000, 0.5, 0.1, 50.0
 TOKENS = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
@@ -28,6 +28,7 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
     """How often each bucket occurs in a table (text): one row per bucket and task is shuffled."""
 
     def count(batches):
+        trim_memory()
         total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
             for t in batch.column(0):
@@ -84,6 +85,7 @@ def weight(text: Column, ratio: Ratio, spark) -> Column:
 
     @F.arrow_udf("struct<mean:double, log_weight:double>")
     def weighed(texts: pa.Array) -> pa.Array:
+        trim_memory()
         got = [shared.value.mean(t.as_py()) for t in texts]
         cut = shared.value.cut
         sums = [n * (m - cut) if np.isfinite(cut) else float(n) for m, n in got]
@@ -103,6 +105,7 @@ def _ordered(column: Column) -> Column:
 
     @F.arrow_udf("long")
     def ordered(values: pa.Array) -> pa.Array:
+        trim_memory()
         bits = np.ascontiguousarray(values.to_numpy(zero_copy_only=False), dtype=np.float64).view(np.int64)
         return pa.array(bits ^ ((bits >> 63) & 0x7FFFFFFFFFFFFFFF))
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import bitmap, components, discard, guarded, held_bits, sieve, spaced_words, stored, table
+from basketlake.llm.common import bitmap, components, discard, guarded, held_bits, sieve, spaced_words, stored, table, trim_memory
 
 CHUNK = 50_000
 MASK = (1 << 64) - 1
@@ -54,6 +54,7 @@ def fingerprint(text: Column, k: int = 3, bits: int = 64, count: int = 1, distin
 
     @F.arrow_udf("array<long>")
     def prints(texts: pa.Array) -> pa.Array:
+        trim_memory()
         return pa.array([fingerprints_of(t.as_py(), k, bits, count, distinct) for t in texts], type=pa.list_(pa.int64()))
 
     return prints(text)
@@ -144,6 +145,7 @@ def shingle_set(text: Column, k: int) -> Column:
 
     @F.arrow_udf("array<long>")
     def sets(texts: pa.Array) -> pa.Array:
+        trim_memory()
         return pa.array([shingle_hashes(t.as_py(), k) for t in texts], type=pa.list_(pa.int64()))
 
     return sets(text)
@@ -169,6 +171,7 @@ def prefix(text: Column, k: int, least: float, common: DataFrame, may_meet=None)
 
     @F.arrow_udf("struct<size:int, keys:array<long>, pos:array<int>>")
     def prefixes(texts: pa.Array) -> pa.Array:
+        trim_memory()
         known, seen = shared.value
         sizes, keys, places = [], [], []
         for t in texts:
@@ -194,6 +197,7 @@ def similarity(a: Column, b: Column) -> Column:
 
     @F.arrow_udf("double")
     def jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
+        trim_memory()
         out = []
         for x, y in zip(left, right, strict=True):
             x, y = x.values.to_numpy(), y.values.to_numpy()
@@ -229,6 +233,7 @@ def text_histogram(text: Column, k: int) -> Column:
 
     @F.arrow_udf("struct<n:int, bars:binary>")
     def shown(texts: pa.Array) -> pa.Array:
+        trim_memory()
         sizes, bars = [], []
         for t in texts:
             own = shingle_hashes(t.as_py(), k)
@@ -254,6 +259,7 @@ def may_share(a: Column, b: Column) -> Column:
 
     @F.arrow_udf("double")
     def most(left: pa.Array, right: pa.Array) -> pa.Array:
+        trim_memory()
         return pa.array([_shared_at_most(x.as_py(), y.as_py()) for x, y in zip(left, right, strict=True)], type=pa.float64())
 
     return most(a, b)
@@ -381,6 +387,7 @@ def parity(text: Column, k: int) -> Column:
 
     @F.arrow_udf("array<long>")
     def bits(texts: pa.Array) -> pa.Array:
+        trim_memory()
         out = []
         for t in texts:
             counts = np.bincount(shingle_hashes(t.as_py(), k) & (PARITY_BITS - 1), minlength=PARITY_BITS)

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketlake.llm.common import guarded, labelled_rows, long_hash, stored, table, token_words
+from basketlake.llm.common import guarded, labelled_rows, long_hash, stored, table, token_words, trim_memory
 
 BUCKETS, SAMPLE_ROWS, TERMS, FACTORS, THRESHOLD = 1 << 20, 20_000, 4_096, 8, 0.3
 #: Standard errors and documents with both from which a term counts beside another.
@@ -25,6 +25,7 @@ def term_buckets(text: str | None) -> np.ndarray:
 def _terms(text: Column) -> Column:
     @F.arrow_udf("array<int>")
     def terms(texts: pa.Array) -> pa.Array:
+        trim_memory()
         return pa.array([term_buckets(t.as_py()).astype(np.int32) for t in texts], type=pa.list_(pa.int32()))
 
     return terms(text)
@@ -154,6 +155,7 @@ def score(text: Column, machine: Machine, spark) -> Column:
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
+        trim_memory()
         return pa.array([shared.value.score(t.as_py()) for t in texts], type=pa.float64())
 
     return scored(text)

@@ -1,7 +1,10 @@
 """Near copies: every pair of similar texts is found, whatever the edit, the length or the order of words."""
 
+import ctypes
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,3 +158,31 @@ def test_parities_of_similar_sets_always_pass(spark):
     sides = df.select("alike", *[F.struct(F.col(size).alias("size"), simhash.parity(F.col(text), 5).alias("odd")).alias(side) for side, text, size in (("x", "s", "m"), ("y", "t", "n"))])
     got = sides.select("alike", simhash._may_differ("x", "y", 0.8).alias("may")).collect()
     assert sum(r.alike for r in got) >= 15 and all(r.may for r in got if r.alike)
+
+
+def test_workers_give_freed_memory_back():
+    """Each step of the stage first gives back what the last one left to the C library."""
+    libc = ctypes.CDLL(None)
+    libc.malloc.restype, libc.free.argtypes = ctypes.c_void_p, [ctypes.c_void_p]
+
+    def held():
+        return int(re.search(r"VmRSS:\s+(\d+)", open("/proc/self/status").read()).group(1)) // 1024
+
+    def left_behind():
+        blocks = [libc.malloc(60_000) for _ in range(2_000)]
+        for b in blocks:
+            ctypes.memset(b, 1, 60_000)
+        for b in blocks[:-1]:
+            libc.free(ctypes.c_void_p(b))
+        return blocks[-1]
+
+    made = []
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(simhash.F, "arrow_udf", lambda kind: lambda f: made.append(f) or (lambda *columns: None))
+        simhash.fingerprint(None), simhash.shingle_set(None, 5), simhash.text_histogram(None, 5), simhash.parity(None, 5)
+    assert len(made) == 4
+    for step in made:
+        last, before = left_behind(), held()
+        step(pa.array(["one two three four five six", None]))
+        assert held() < before - 80
+        libc.free(ctypes.c_void_p(last))
