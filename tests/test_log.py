@@ -136,3 +136,17 @@ def test_rendered_amounts_need_no_patterns(spark):
     assert [r.v for r in frame.select(numbers.plain_number(F.col("retail")).alias("v")).collect()] == ["0", "-0.1", "100", "10.5", "7561.63", "0.05", None]
     plan = frame.select(lines.render(frame).alias("line"))._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan and "rlike" not in plan.lower()
+
+
+def test_tenders_come_from_one_read(spark, raw):
+    """Lines and the rows of their blocks come from one shuffle, so the log is parsed once; lines keep all they had."""
+    stamped = lines.tendered_runs(raw)
+    got = stamped.orderBy("ord").collect()
+    assert [r.transaction_no for r in got] == [0] * 5 + [1] * 4 and [r.tender_type for r in got] == ["CASH"] * 5 + ["EBT FOOD"] * 4
+    assert set(stamped.columns) == {*raw.columns, "transaction_no", "tender_type"}
+    assert [tuple(r) for r in stamped.orderBy("ord").select(*raw.columns).collect()] == [tuple(r) for r in raw.orderBy("ord").collect()]
+    stamped.write.format("noop").mode("overwrite").save()
+    plan = stamped._jdf.queryExecution()
+    stamped.collect()
+    shown = plan.executedPlan().toString()
+    assert "ReusedExchange" in shown or shown.count("FileScan csv") == 1
