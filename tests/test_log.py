@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from basketlake.functions import numbers
 from basketlake.operators import lines, reconcile, rollups
 from basketlake.schemas import log_fields, log_schema
+from basketlake.sources import sinks
 from basketlake.sources.raw_log import read_log
 
 DEFAULTS = {
@@ -150,3 +151,18 @@ def test_tenders_come_from_one_read(spark, raw):
     stamped.collect()
     shown = plan.executedPlan().toString()
     assert "ReusedExchange" in shown or shown.count("FileScan csv") == 1
+
+
+def test_gzipped_logs_are_read_like_plain_ones(spark, tmp_path):
+    """Logs of the sample are written gzipped, whole files in one piece, and the reader takes both kinds."""
+    body = "\n".join(record(**dict(zip(NAMES, b))) for b in BASKETS)
+    frame = spark.createDataFrame([("f", i, v, 2026, 7) for i, v in enumerate(body.split("\n"))], "file string, ord long, value string, year int, month int")
+    sinks.write_log(frame, str(tmp_path / "zipped"))
+    written = [p.name for p in (tmp_path / "zipped").rglob("part-*")]
+    assert written and all(name.endswith(".dat.gz") for name in written)
+    folder = tmp_path / "plain"
+    folder.mkdir()
+    (folder / "TLOG_2026-07-01_1_0000000001.DAT").write_text(body + "\n")
+    fields = log_fields()
+    zipped, plain = (read_log(spark, str(tmp_path / n)).orderBy("ord").select(*fields).collect() for n in ("zipped", "plain"))
+    assert zipped == plain and len(plain) == len(BASKETS)
