@@ -9,7 +9,7 @@ from basketlake.fixed_values import MOVEMENT_LABELS, MOVEMENT_SKIP_MARKERS
 from basketlake.functions.numbers import number_or_null
 from basketlake.functions.text import blank, digits_of, pad_barcode, squeeze, strip_zeros
 from basketlake.operators.skew import left_join
-from basketlake.session import stored
+from basketlake.session import compiled, stored
 
 SHEET = ["file", "sheet"]
 HEADER_ROWS = 12
@@ -188,7 +188,9 @@ def summary(actuals: DataFrame) -> DataFrame:
 
     The windows are made once, not for each of the counts.
     """
-    actuals = stored(actuals.select("units", "sales", "store_code", "period_start", "period_end", "category_name"), "movement-latest")
+    shown = actuals.select("units", "sales", "store_code", "period_start", "period_end", "category_name")
+    with compiled(actuals.sparkSession):
+        actuals = stored(shown, "movement-latest")
     counted = actuals.agg(
         F.count(F.lit(1)).alias("items"), F.sum(F.col("units").cast("decimal(18,3)")).cast("double").alias("units"),
         F.sum(F.col("sales").cast("decimal(18,2)")).cast("double").alias("sales"),

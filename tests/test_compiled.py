@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from basketlake.operators.lines import render
-from basketlake.session import METHOD_LIMIT, METHOD_LIMIT_KEY, without_leftovers
+from basketlake.session import METHOD_LIMIT, METHOD_LIMIT_KEY
+from basketlake.sources import sinks
 
 
 def plan(df):
@@ -21,8 +22,13 @@ def test_a_log_line_is_one_text(spark):
     assert shown.head().value.startswith(",".join(fields[:29]) + ',"a,b"') and shown.head().value.count(",") == 36
 
 
-def test_writes_leave_long_methods_to_operators(spark):
-    before = spark.conf.get(METHOD_LIMIT_KEY)
-    with without_leftovers(spark):
+def test_writes_leave_long_methods_to_operators(spark, tmp_path, monkeypatch):
+    before, seen = spark.conf.get(METHOD_LIMIT_KEY), []
+    rows = spark.sql("SELECT DATE'2026-01-05' AS d, 1 AS n")
+    limited = sinks.compiled
+    monkeypatch.setattr(sinks, "compiled", lambda spark: seen.append(limited(spark)) or seen[-1])
+    sinks.write_table(rows, str(tmp_path / "t"), "d")
+    assert len(seen) == 1 and spark.conf.get(METHOD_LIMIT_KEY) == before
+    with limited(spark):
         assert spark.conf.get(METHOD_LIMIT_KEY) == METHOD_LIMIT
     assert spark.conf.get(METHOD_LIMIT_KEY) == before
